@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.errors import QualityError
+from tidemill.functions.numbers import parse_number
 from tidemill.operators.joins import orphans
 
 
@@ -128,11 +129,16 @@ def split_valid(df: DataFrame, schema: str, required: Sequence[str]) -> tuple[Da
     """Typed records, and rejected ones as they came: a required field is missing or a value does not fit."""
     fields = T.StructType.fromDDL(schema)
     values = {f.name: F.col(f.name) if f.name in df.columns else F.lit(None).cast("string") for f in fields}
+    typed = {
+        f.name: parse_number(values[f.name]).cast(f.dataType)
+        if isinstance(f.dataType, T.FractionalType)
+        else values[f.name].try_cast(f.dataType)
+        for f in fields
+    }
     missing = [values[c].isNull() for c in required]
-    misfit = [values[f.name].isNotNull() & values[f.name].try_cast(f.dataType).isNull() for f in fields]
+    misfit = [values[c].isNotNull() & typed[c].isNull() for c in typed]
     bad = F.array_contains(F.array(*missing, *misfit), True)
-    typed = [values[f.name].try_cast(f.dataType).alias(f.name) for f in fields]
-    return df.filter(~bad).select(*typed), df.filter(bad)
+    return df.filter(~bad).select(*[v.alias(c) for c, v in typed.items()]), df.filter(bad)
 
 
 def profile(df: DataFrame, step: str | None = None, approximate: bool = False) -> DataFrame:

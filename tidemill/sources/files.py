@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from tidemill.errors import FormatError
 from tidemill.operators.rows import SEQ
 
-# Texts that a CSV reader takes as missing, besides the empty text.
+# Texts that a CSV reader takes as missing.
 NULL_TOKENS = (
-    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
     "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 

@@ -11,26 +11,28 @@ from pyspark.sql import types as T
 from tidemill.errors import FormatError
 from tidemill.functions.dates import instant
 from tidemill.operators.rows import SEQ, add_if_absent
-from tidemill.sources.files import read_json_documents
+from tidemill.sources.files import read_json_documents, read_json_lines, with_ingest_order
 
 ENVELOPES = ("customers", "orders", "products")
 
 
-def read_envelope(spark: SparkSession, path: str | list[str], key: str, schema: str | None = None) -> DataFrame:
+def read_envelope(
+    spark: SparkSession, path: str | list[str], key: str, schema: str | None = None, lines: bool = False
+) -> DataFrame:
     """Rows of ``{key: [...]}`` documents, one document per response page.
 
-    ``_seq`` keeps file and array position. A document without the key fails the read, at planning
-    time when no file has it and at run time otherwise.
+    A file holds one page, or with ``lines`` one page per line, which Spark can split. ``_seq`` keeps
+    the position: file, page, then place in the array. A document without the key fails the read, at
+    planning time when no file has it and at run time otherwise.
     """
-    documents = read_json_documents(spark, path, f"`{key}` array<struct<{schema}>>" if schema else None)
+    read = read_json_lines if lines else read_json_documents
+    documents = read(spark, path, f"`{key}` array<struct<{schema}>>" if schema else None)
     if key not in documents.columns or not isinstance(documents.schema[key].dataType, T.ArrayType):
         raise FormatError(f"Invalid {key.rstrip('s')} data format")
     lacking = F.raise_error(F.lit(f"Invalid {key.rstrip('s')} data format")).cast("boolean")
-    checked = documents.withColumn("_file", F.col("_metadata.file_path")).filter(
-        F.when(F.col(key).isNull(), lacking).otherwise(True)
-    )
-    rows = checked.select("_file", F.posexplode(key).alias("_pos", "_row"))
-    return rows.select("_row.*", F.struct("_file", "_pos").alias(SEQ))
+    pages = with_ingest_order(documents, "_page").filter(F.when(F.col(key).isNull(), lacking).otherwise(True))
+    rows = pages.select("_page", F.posexplode(key).alias("_pos", "_row"))
+    return rows.select("_row.*", F.struct("_page", "_pos").alias(SEQ))
 
 
 def read_orders(spark: SparkSession, path: str, start_date: dt.date | str | None = None, **options) -> DataFrame:

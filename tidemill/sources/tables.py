@@ -43,7 +43,8 @@ def read_source(spark: SparkSession, kind: str, **config: Any) -> DataFrame:
     """Read by kind: csv, json and parquet need ``file``; postgres ``table``; api ``endpoint``.
 
     ``api`` reads the landed responses of the endpoint from ``<landing>/<endpoint>``. ``postgres``
-    reads over JDBC when ``url`` is given, else the table of that name in the catalog.
+    reads over JDBC when ``url`` is given, else the table of that name in the catalog. JSON files hold
+    one document each, or with ``lines=True`` one record per line.
     """
     if kind not in SOURCE_KINDS:
         raise ConfigError(f"unknown source kind {kind!r}, expected one of {', '.join(SOURCE_KINDS)}")
@@ -54,7 +55,8 @@ def read_source(spark: SparkSession, kind: str, **config: Any) -> DataFrame:
     if kind == "csv":
         return files.read_csv(spark, target, **config)
     if kind == "json":
-        return files.read_json_documents(spark, target, **config)
+        read = files.read_json_lines if config.pop("lines", False) else files.read_json_documents
+        return read(spark, target, **config)
     if kind == "parquet":
         return files.read_parquet(spark, target, **config)
     if kind == "api":
