@@ -6,8 +6,12 @@ tables. They put in what real feeds have: several messages per key, missing and
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemill.sources.files import read_parquet, spread
+
 AS_OF = "2001-09-01 00:00:00"
 
 TABLES = (
@@ -104,8 +108,20 @@ PRODUCTS_ORDER = ("_shipped", "_order", "_line", "_store")
 STORES_ORDER = ("_shipped", "_order", "_line", "_part")
 
 
+# Keys by which a small table is spread over the cores.
+SPREAD_BY = {"lineitem": ["l_orderkey"], "orders": ["o_orderkey"], "events": ["event_id"], "customer": ["c_custkey"]}
+
+
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A given table, opened once per session."""
+    return read_parquet(spark, f"{folder}/{name}.parquet")
+
+
+@lru_cache(maxsize=64)
+def _spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    given = table(spark, folder, name)
+    return spread(given, *SPREAD_BY[name]) if name in SPREAD_BY else given
 
 
 def put_tables(sql: str, naming) -> str:
@@ -116,7 +132,13 @@ def put_tables(sql: str, naming) -> str:
 
 def query(spark: SparkSession, folder: str, sql: str) -> DataFrame:
     """SQL text over the given tables."""
-    return spark.sql(put_tables(sql, lambda name: f"parquet.`{folder}/{name}.parquet`"))
+
+    def view(name: str) -> str:
+        if "{" + name + "}" in sql:
+            _spread_table(spark, folder, name).createOrReplaceTempView(f"given_{name}")
+        return f"given_{name}"
+
+    return spark.sql(put_tables(sql, view))
 
 
 def feed(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -29,6 +29,13 @@ def fresh(spark: SparkSession, name: str) -> str:
     return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def scratch_schema(spark: SparkSession) -> str:
+    """A new catalog schema whose tables lie in the work folder."""
+    schema = f"scratch_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE SCHEMA {schema} LOCATION '{work_folder(spark)}/{schema}'")
+    return schema
+
+
 def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh(spark, "csv")
     file_sinks.save_csv(feed(spark, folder, "raw_stores").drop("_shipped", "_order", "_line", "_part"), path)
@@ -108,7 +115,7 @@ def upsert_stored(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def table_append(spark: SparkSession, folder: str) -> DataFrame:
-    name = f"loads.t{uuid.uuid4().hex}"
+    name = f"{scratch_schema(spark)}.customers"
     table_sinks.save_table(table(spark, folder, "customer"), name, "replace")
     table_sinks.save_table(table(spark, folder, "customer").filter("c_acctbal < 0"), name, "append")
     table_sinks.save_table(table(spark, folder, "customer"), name, "ignore")
@@ -116,7 +123,7 @@ def table_append(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def routed_table(spark: SparkSession, folder: str) -> DataFrame:
-    schema = f"routed_{uuid.uuid4().hex[:8]}"
+    schema = scratch_schema(spark)
     load_entity_table(table(spark, folder, "orders"), "pulls", schema)
     return spark.table(f"{schema}.{target_table('pulls')}")
 
@@ -140,13 +147,12 @@ def sql_parameters(spark: SparkSession, folder: str) -> DataFrame:
 
 def table_and_view(spark: SparkSession, folder: str) -> DataFrame:
     """A model table, and a model view that selects from it."""
-    name = uuid.uuid4().hex
+    schema = scratch_schema(spark)
     table(spark, folder, "part").createOrReplaceTempView("model_part")
-    table_sinks.materialize(
-        spark, f"by_brand_{name}", "SELECT p_brand, count(*) AS n FROM model_part GROUP BY p_brand", "table"
-    )
-    table_sinks.materialize(spark, f"large_brand_{name}", f"SELECT * FROM by_brand_{name} WHERE n > 70", "view")
-    return spark.table(f"large_brand_{name}")
+    counts = "SELECT p_brand, count(*) AS n FROM model_part GROUP BY p_brand"
+    table_sinks.materialize(spark, f"{schema}.by_brand", counts, "table")
+    table_sinks.materialize(spark, f"{schema}.large_brand", f"SELECT * FROM {schema}.by_brand WHERE n > 70", "view")
+    return spark.table(f"{schema}.large_brand")
 
 
 def model_union_all(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,7 +179,7 @@ def composed_flow(spark: SparkSession, folder: str) -> DataFrame:
     """Validated steps: upper-case names, a mark, a suffix, and a load into a replaced table."""
     from tidemill.operators.quality import require_fields
 
-    name = f"loads.f{uuid.uuid4().hex}"
+    name = f"{scratch_schema(spark)}.names"
     steps = [
         flow.Step(rows.upper_names, validate_input=require_fields),
         flow.Step(rows.mark_transformed),

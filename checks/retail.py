@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks.feeds import AS_OF, FEEDS, ORDERS_ORDER, PRODUCTS_ORDER, STORES_ORDER, feed, oracle, table
 from tidemill.operators.rows import keep_last, kept_and_dropped
 from tidemill.plans import retail, sample
+from tidemill.sinks.layers import store
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,9 +27,13 @@ def stores(spark: SparkSession, folder: str) -> DataFrame:
     return retail.clean_stores(feed(spark, folder, "raw_stores"), order=STORES_ORDER, as_of=AS_OF)
 
 
-def inventory(spark: SparkSession, folder: str) -> DataFrame:
+def inventory(spark: SparkSession, folder: str, cleaned_products: DataFrame | None = None) -> DataFrame:
+    """Enriched inventory over stored product and store tables."""
     return retail.enrich_inventory(
-        feed(spark, folder, "raw_inventory"), products(spark, folder), stores(spark, folder), as_of=AS_OF
+        feed(spark, folder, "raw_inventory"),
+        cleaned_products or store(products(spark, folder), "products"),
+        store(stores(spark, folder), "stores"),
+        as_of=AS_OF,
     )
 
 
@@ -43,12 +48,14 @@ def customer_orders_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def product_inventory_mart(spark: SparkSession, folder: str) -> DataFrame:
-    mart = retail.product_inventory_mart(products(spark, folder), inventory(spark, folder))
+    cleaned = store(products(spark, folder), "products")
+    mart = retail.product_inventory_mart(cleaned, inventory(spark, folder, cleaned))
     return rounded(mart, inventory_value=2, retail_value=2, potential_profit=2)
 
 
 def sales_by_store_mart(spark: SparkSession, folder: str) -> DataFrame:
-    mart = retail.sales_by_store_mart(orders(spark, folder), None, stores(spark, folder), unique_orders=True)
+    cleaned = store(stores(spark, folder), "stores")
+    mart = retail.sales_by_store_mart(orders(spark, folder), None, cleaned, unique_orders=True)
     return rounded(mart, total_sales=2, avg_order_value=6)
 
 

@@ -12,9 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def parse_records(df: DataFrame, raw: str, schema: str) -> DataFrame:
-    """Parse a JSON text column into top-level columns, dropping the text."""
-    return df.select(F.from_json(raw, schema).alias("_r")).select("_r.*")
+def parse_records(df: DataFrame, raw: str, schema: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Parse a JSON text column into top-level columns, dropping all others but ``keep``.
+
+    The record goes through a one-element ``inline``. A plain projection would let the optimizer copy
+    the parse into every filter and field access above it, and so parse each text many times.
+    """
+    return df.select(*keep, F.inline(F.array(F.from_json(raw, schema))))
 
 
 def present(field: Column) -> Column:

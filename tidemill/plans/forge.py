@@ -200,11 +200,9 @@ def generic(df: DataFrame) -> DataFrame:
 def generic_open(df: DataFrame, raw: str = "raw") -> DataFrame:
     """``generic`` for JSON text of unknown schema; the other fields end in the map ``extras``."""
     known = f"id variant, url string, html_url string, {_TIMES}"
-    record = F.from_json(raw, known)
-    rows = df.select(record.alias("_r"), without_keys(F.col(raw), ["id", "html_url", "created_at", "updated_at"]))
-    rows = rows.toDF("_r", "extras").select("_r.*", "extras")
-    return rows.select(
-        F.col("id"), _text("url", "api_url"), _text("html_url"), _moment("created_at"), _moment("updated_at"), "extras"
+    others = without_keys(F.col("_raw"), ["id", "html_url", "created_at", "updated_at"]).alias("extras")
+    return parse_records(df.select(F.col(raw).alias("_raw")), "_raw", known, keep=["_raw"]).select(
+        "id", _text("url", "api_url"), _text("html_url"), _moment("created_at"), _moment("updated_at"), others
     )
 
 

@@ -93,7 +93,7 @@ def _treatment_number(name: str) -> Column:
 
 def treatments(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Treatments as one wide row; all fields of unknown types are also kept in the map ``extras``."""
-    parsed = df.select(F.col(raw).alias("_raw"), F.from_json(raw, TREATMENT).alias("_r")).select("_raw", "_r.*")
+    parsed = parse_records(df.select(F.col(raw).alias("_raw")), "_raw", TREATMENT, keep=["_raw"])
     event = F.col("eventType")
     kind = (
         F.when(event.isNull(), "")

@@ -96,7 +96,8 @@ def clean_products(df: DataFrame, order: Sequence[str] = (SEQ,), as_of: Any = No
         name = F.coalesce(text.strip(F.col("product_name")), F.lit("Unknown Product"))
         cleaned = cleaned.withColumn("product_name", name)
     prices = existing(cleaned, ["price", "cost", "msrp"])
-    cleaned = cleaned.withColumns({c: numbers.not_negative(_number(cleaned, c)) for c in prices})
+    cleaned = cleaned.withColumns({c: _number(cleaned, c) for c in prices})
+    cleaned = cleaned.withColumns({c: numbers.not_negative(F.col(c)) for c in prices})
     if "price" in prices and "cost" in prices:
         cleaned = cleaned.withColumn("margin", F.col("price") - F.col("cost"))
         percent = numbers.ratio(F.col("margin"), F.col("price"), when_zero=0.0) * 100

@@ -135,6 +135,18 @@ def select_files(
     return _load(reader, fmt, f"{root.rstrip('/')}/{prefix}*" if prefix else root)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan that Spark cannot split over all cores, such as one file with one row group.
+
+    A scan with at least as many partitions as the session's parallelism is returned as it is, so
+    big inputs are never shuffled for this.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= parallelism:
+        return df
+    return df.repartition(parallelism, *keys)
+
+
 def with_ingest_order(df: DataFrame, name: str = SEQ) -> DataFrame:
     """Add a sortable ingest position: file time, file, block, then row within the block.
 
