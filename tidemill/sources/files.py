@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +24,8 @@ NULL_TOKENS = (
 def _load(reader, fmt: str, path: str | list[str]) -> DataFrame:
     try:
         return reader.format(fmt).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+    except (PySparkException, Py4JJavaError) as error:
+        if isinstance(error, PySparkException) and error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"File not found: {path}") from error
         raise FormatError(f"Failed to read {fmt} file: {error}") from error
 
@@ -75,11 +76,12 @@ def infer_types(df: DataFrame, text_columns: Sequence[str] = ()) -> dict[str, st
     tests: list[Column] = []
     for i, c in enumerate(candidates):
         text = F.col(c)
-        tests += [
-            F.every(text.rlike(r"^\s*[+-]?(0|[1-9]\d*)\s*$") & text.try_cast("bigint").isNotNull()).alias(f"i{i}"),
-            F.every(text.try_cast("double").isNotNull() & ~text.rlike(r"^\s*[+-]?0\d|[dDfF]\s*$")).alias(f"d{i}"),
-            F.every(F.lower(text).isin("true", "false")).alias(f"b{i}"),
-        ]
+        fits = {
+            "i": text.rlike(r"^\s*[+-]?(0|[1-9]\d*)\s*$") & text.try_cast("bigint").isNotNull(),
+            "d": text.try_cast("double").isNotNull() & ~text.rlike(r"^\s*[+-]?0\d|[dDfF]\s*$"),
+            "b": F.lower(text).isin("true", "false"),
+        }
+        tests += [F.every(F.when(text.isNotNull(), test)).alias(f"{flag}{i}") for flag, test in fits.items()]
     seen = df.agg(*tests).first()
     for i, c in enumerate(candidates):
         for flag, dtype in (("i", "bigint"), ("d", "double"), ("b", "boolean")):

@@ -29,9 +29,9 @@ def read_envelope(
     documents = read(spark, path, f"`{key}` array<struct<{schema}>>" if schema else None)
     if key not in documents.columns or not isinstance(documents.schema[key].dataType, T.ArrayType):
         raise FormatError(f"Invalid {key.rstrip('s')} data format")
-    lacking = F.raise_error(F.lit(f"Invalid {key.rstrip('s')} data format")).cast("boolean")
-    pages = with_ingest_order(documents, "_page").filter(F.when(F.col(key).isNull(), lacking).otherwise(True))
-    rows = pages.select("_page", F.posexplode(key).alias("_pos", "_row"))
+    lacking = F.raise_error(F.lit(f"Invalid {key.rstrip('s')} data format"))
+    items = F.coalesce(F.col(key), lacking.cast(documents.schema[key].dataType))
+    rows = with_ingest_order(documents, "_page").select("_page", F.posexplode(items).alias("_pos", "_row"))
     return rows.select("_row.*", F.struct("_page", "_pos").alias(SEQ))
 
 
@@ -81,17 +81,17 @@ def time_range(
 def glucose_readings(df: DataFrame, as_of: dt.datetime | str | None = None, lookback_hours: int = 24) -> DataFrame:
     """Typed readings of the last hours from raw entries, with the range's bounds on every row.
 
-    ``dateString`` and ``sgv`` must be there; ``device`` and ``type`` have defaults.
+    A reading in the range must have ``sgv``; ``device`` and ``type`` have defaults.
     """
     end = instant(as_of)
     start = end - F.make_dt_interval(F.lit(0), F.lit(lookback_hours))
     for name in ("device", "type", "direction", "noise", "filtered", "unfiltered", "rssi"):
         df = add_if_absent(df, name, F.lit(None).cast("string"))
-    required = F.col("dateString").isNull() | F.col("sgv").isNull()
-    bad = F.raise_error(F.lit("a reading lacks dateString or sgv")).cast("boolean")
+    bad = F.raise_error(F.lit("a reading lacks sgv")).cast("boolean")
     moment = F.col("dateString").cast("timestamp").cast("timestamp_ntz")
     return (
-        df.filter(F.when(required, bad).otherwise(True))
+        df.filter(moment.between(start, end))
+        .filter(F.when(F.col("sgv").isNull(), bad).otherwise(True))
         .select(
             moment.alias("timestamp"),
             F.col("sgv").cast("double").alias("glucose"),
@@ -103,6 +103,5 @@ def glucose_readings(df: DataFrame, as_of: dt.datetime | str | None = None, look
             F.col("unfiltered").cast("double").alias("unfiltered"),
             F.col("rssi").cast("int").alias("rssi"),
         )
-        .filter(F.col("timestamp").between(start, end))
         .withColumns({"start_time": start, "end_time": end})
     )

@@ -70,3 +70,6 @@ def upsert_new_files(
         upsert_table(rows, table, root, keys, order, version=f"{stream_name}-{batch_id:09d}")
 
     start(stream, checkpoint, on_batch).awaitTermination()
+    # Batches run in a session of their own; let this one see where the table points now.
+    if stream.sparkSession.catalog.tableExists(table):
+        stream.sparkSession.catalog.refreshTable(table)
