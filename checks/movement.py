@@ -185,7 +185,7 @@ def composed_flow(spark: SparkSession, folder: str) -> DataFrame:
         flow.Step(rows.mark_transformed),
         lambda df: rows.suffix_text(df, "name"),
     ]
-    source = query(spark, folder, "SELECT n_nationkey AS id, lower(n_name) AS name, n_regionkey FROM {nation}")
+    source = query(spark, folder, "SELECT c_custkey AS id, lower(c_name) AS name, c_acctbal FROM {customer}")
     flow.Flow("names", lambda: source, steps, load=lambda df: flow.replace_load(df, name)).run()
     return spark.table(name)
 
@@ -297,7 +297,7 @@ ORACLES = {
         SELECT o_orderkey AS order_id, o_custkey, o_orderstatus, o_totalprice AS total, o_orderdate, o_orderpriority
         FROM orders WHERE o_orderstatus = 'O'
     """,
-    "composed_flow": "SELECT n_nationkey AS id, upper(n_name) || '_transformed' AS name, true AS transformed FROM nation",
+    "composed_flow": "SELECT c_custkey AS id, upper(c_name) || '_transformed' AS name, true AS transformed FROM customer",
     "stream_incremental_upsert": """
         SELECT event_id, user_id, value, ts, event_type
         FROM (SELECT *, event_type NOT IN ('click', 'view') AS late FROM events)
