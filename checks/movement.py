@@ -19,7 +19,7 @@ from tidemill.session import work_folder
 from tidemill.sinks import files as file_sinks
 from tidemill.sinks import tables as table_sinks
 from tidemill.sinks.routed import load_entity_file, load_entity_table, target_path, target_table
-from tidemill.sinks.versioned import upsert_table
+from tidemill.sinks.versioned import upsert_partitions, upsert_table
 from tidemill.sources import files, incremental, landed
 from tidemill.sources.tables import read_source, read_table
 from tidemill.streaming import landing
@@ -99,6 +99,12 @@ BATCH = """
     FROM {lineitem}
 """
 ITEMS = "SELECT p_partkey AS id, p_name AS name, p_retailprice AS price FROM {part}"
+STATUSES = "SELECT o_orderkey AS id, o_totalprice AS price, o_orderstatus AS status FROM {orders}"
+CHANGES = """
+    SELECT l_orderkey AS id, l_extendedprice AS price, l_returnflag AS status, l_linenumber AS _line, l_partkey AS _part,
+           l_shipdate AS _shipped
+    FROM {lineitem} WHERE l_linestatus = 'F'
+"""
 BATCH_ORDER = ("_shipped", "_line", "_part")
 
 
@@ -114,6 +120,14 @@ def upsert_stored(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def upsert_partitioned(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders stored by status; the first line of each order then moves some of them to another status."""
+    name, root = f"{scratch_schema(spark)}.orders", fresh(spark, "orders")
+    upsert_partitions(query(spark, folder, STATUSES), name, root, ["id"], "status")
+    upsert_partitions(query(spark, folder, CHANGES), name, root, ["id"], "status", ["_line", "_part", "_shipped", "price"])
+    return spark.table(name)
+
+
 def table_append(spark: SparkSession, folder: str) -> DataFrame:
     name = f"{scratch_schema(spark)}.customers"
     table_sinks.save_table(table(spark, folder, "customer"), name, "replace")
@@ -239,6 +253,7 @@ QUERIES = {
     "incremental_state": incremental_state,
     "upsert_by_id": upsert_by_id,
     "upsert_stored": upsert_stored,
+    "upsert_partitioned": upsert_partitioned,
     "table_append": table_append,
     "routed_table": routed_table,
     "routed_file": routed_file,
@@ -283,6 +298,16 @@ ORACLES = {
     "incremental_state": "SELECT coalesce(max(o_orderkey), 5) AS state FROM orders",
     "upsert_by_id": _UPSERT,
     "upsert_stored": _UPSERT,
+    "upsert_partitioned": oracle(
+        """
+        SELECT id, price, status FROM statuses WHERE id NOT IN (SELECT id FROM changes)
+        UNION ALL
+        SELECT id, price, status FROM (SELECT * FROM changes QUALIFY row_number() OVER (
+            PARTITION BY id ORDER BY _line DESC, _part DESC, _shipped DESC, price DESC) = 1)
+        """,
+        statuses=STATUSES,
+        changes=CHANGES,
+    ),
     "table_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_acctbal < 0",
     "routed_table": "SELECT * FROM orders",
     "routed_file": "SELECT s_suppkey, s_name, s_nationkey::BIGINT AS s_nationkey, s_acctbal FROM supplier",

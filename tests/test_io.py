@@ -347,3 +347,26 @@ def test_streams_take_only_new_files(spark, rows, schema, folder):
     run()
     assert plain(spark.table(name)) == [(1, "b"), (2, "c"), (3, "d")]
     assert spark.read.parquet(f"{folder}/all").count() == 5
+
+
+@pytest.mark.parametrize("stable", [False, True])
+def test_partitioned_upsert_rewrites_only_what_it_touches(spark, rows, schema, folder, stable):
+    from tidemill.sinks.versioned import upsert_partitions
+
+    fields, name = "id int, v string, day date, _seq int", f"{schema}.p"
+    import datetime as dt
+
+    d1, d2, d3 = (dt.date(2024, 1, i) for i in (1, 2, 3))
+
+    def load(*data):
+        return upsert_partitions(rows(list(data), fields), name, folder, ["id"], "day", stable=stable)
+
+    assert load((1, "a", d1, 1), (1, "b", d1, 2), (2, "a", d2, 1), (3, "a", d3, 1)) == 3
+    before = {p.rsplit("/", 1)[0] for p in spark.table(name).filter(F.col("day") == d2).inputFiles()}
+    assert load((1, "c", d1, 1), (4, "d", d1, 1)) == 2
+    assert plain(spark.table(name)) == [(1, "c", d1), (2, "a", d2), (3, "a", d3), (4, "d", d1)]
+    assert {p.rsplit("/", 1)[0] for p in spark.table(name).filter(F.col("day") == d2).inputFiles()} == before
+    if not stable:
+        assert load((3, "moved", d1, 1)) == 1
+        assert plain(spark.table(name)) == [(1, "c", d1), (2, "a", d2), (3, "moved", d1), (4, "d", d1)]
+        assert spark.sql(f"SHOW PARTITIONS {name}").count() == 2

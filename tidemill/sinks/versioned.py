@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemill.operators.upsert import newest, upsert, upsert_columns
 from tidemill.sinks.tables import counted
@@ -66,3 +67,55 @@ def upsert_table_columns(
         publish(upsert_columns(spark.table(table), batch, keys, update), table, root)
     else:
         publish(batch, table, root)
+
+
+def _touched(stored: DataFrame, batch: DataFrame, keys: Sequence[str], partition: str, stable: bool) -> list:
+    """Partitions that a batch changes: those of its rows, and those where its keys are stored now."""
+    values = batch.select(partition)
+    if not stable:
+        homes = stored.select(*keys, partition).join(batch.select(*keys).distinct(), list(keys), "left_semi")
+        values = values.unionByName(homes.select(partition))
+    return [row[0] for row in values.distinct().collect()]
+
+
+def upsert_partitions(
+    batch: DataFrame,
+    table: str,
+    root: str,
+    keys: Sequence[str],
+    partition: str,
+    order: Sequence[str] | None = None,
+    stable: bool = False,
+) -> int:
+    """Upsert into a table that is partitioned by one column, rewriting only the partitions concerned.
+
+    The other partitions are looked at for their keys alone, to find rows that the batch moves to
+    another partition; ``stable`` says that a key never moves and skips that. New folders are written
+    first, then each partition's location is switched. Partition values must not be null.
+    """
+    spark = batch.sparkSession
+    version = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    incoming = newest(batch, keys, order)
+    incoming = incoming.select(*[c for c in incoming.columns if c != partition], partition)
+    if not spark.catalog.tableExists(table):
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in incoming.schema)
+        spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{root}'")
+    stored = spark.table(table)
+    touched = _touched(stored, incoming, keys, partition, stable)
+    seen = Observation()
+    changed = upsert(stored.filter(F.col(partition).isin(touched)), incoming, keys, order=(), seen=seen)
+    changed.write.partitionBy(partition).parquet(version)
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    written = spark.read.schema(stored.schema).parquet(version).select(partition, folder.alias("folder")).distinct()
+    locations = {row[0]: row["folder"] for row in written.collect()}
+    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for value in touched:
+        alter, spec = f"ALTER TABLE {table}", f"PARTITION (`{partition}` = '{value}')"
+        if value not in locations:
+            spark.sql(f"{alter} DROP IF EXISTS {spec}")
+        elif f"{partition}={value}" in known:
+            spark.sql(f"{alter} {spec} SET LOCATION '{locations[value]}'")
+        else:
+            spark.sql(f"{alter} ADD {spec} LOCATION '{locations[value]}'")
+    spark.catalog.refreshTable(table)
+    return seen.get["rows"]
