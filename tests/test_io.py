@@ -260,6 +260,11 @@ def test_registry(spark, rows, folder):
     assert [tuple(r) for r in got] == [("d", "there", 1, "2024-01-01 00:00:00", "kind"), ("e", "e", 3, "2024-02-01 00:00:00", "kind")]
     stats = registry.partition_stats(df, "d", "kind", "id", "here").select("partition_key", "min_value", "max_value", "row_count")
     assert plain(stats) == [("a", "1", "1", 1), ("b", "2", "3", 2)]
+    for dataset in ("d", "lost"):
+        registry.record_partitions(registry.partition_stats(df, dataset, "kind", "id", "here"), f"{folder}/parts")
+    assert registry.record_partitions(registry.partition_stats(df.limit(1), "d", "kind", "id", "here"), f"{folder}/parts") == 1
+    assert spark.table(registry.PARTITIONS).count() == 4
+    assert {r.dataset for r in registry.unregistered_partitions(spark).collect()} == {"lost"}
 
 
 def test_stored_layers_and_spread(spark, rows):

@@ -152,6 +152,24 @@ def test_load_upserts_by_id(spark, texts, folder):
         glucose.load(spark, glucose.transform({"entries": texts({"sgv": 1})}), folder, "glucose_test")
 
 
+def test_bundle_of_recent_records(spark, folder):
+    day = 86_400_000
+    sets = {
+        "entries": [{"_id": f"e{i}", "date": 1704067200000 - i * day, "sgv": 100} for i in range(4)],
+        "treatments": [{"_id": "t1", "created_at": "2023-12-31T12:00:00.000Z"}, {"_id": "t2", "created_at": "2023-12-01T00:00:00.000Z"}],
+        "profiles": [{"_id": "p", "created_at": "1999-01-01T00:00:00Z"}],
+        "devicestatus": [{"_id": "d", "created_at": "2024-01-01T00:00:00.001Z"}],
+    }
+    for name, records in sets.items():
+        with open(f"{folder}/{name}", "w") as f:
+            f.write("\n".join(map(json.dumps, records)) + "\n")
+    bundle = glucose.transform(glucose.read_bundle(spark, folder, "2024-01-01", days=2))
+    assert {n: sorted(r.id for r in df.collect()) for n, df in bundle.items()} == {
+        "entries": ["e0", "e1", "e2"], "treatments": ["t1"], "profiles": ["p"], "devicestatus": [],
+    }
+    assert glucose.read_bundle(spark, folder, "2024-01-01", days=2, limit=1)["entries"].collect()[0].raw.startswith('{"_id": "e0"')
+
+
 REPORT = {
     "metadata": {"invocation_id": "i", "generated_at": "2024-01-01T00:00:00Z"},
     "results": [

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from tidemill.functions.jsons import parse_records, row_as_json, scalar_or_membe
 from tidemill.functions.numbers import mmol_per_litre
 from tidemill.sinks.tables import counted
 from tidemill.sinks.versioned import publish, upsert_table
+from tidemill.sources.files import read_lines
+from tidemill.sources.landed import time_range
 
 ENTRY = (
     "_id string, device string, date variant, dateString string, sgv double, direction string, type string, "
@@ -142,6 +145,29 @@ def device_status(df: DataFrame, raw: str = "raw") -> DataFrame:
     )
 
 
+# The field that a time range applies to, per record set; profiles are read in full.
+TIME_FIELDS = {"entries": ("date", "bigint"), "treatments": ("created_at", "string"), "devicestatus": ("created_at", "string")}
+
+
+def recent(df: DataFrame, name: str, as_of: Any = None, days: int = 1, limit: int | None = 10000, raw: str = "raw") -> DataFrame:
+    """Records of a set within the last days, newest first and capped; profiles are never cut."""
+    if name not in TIME_FIELDS:
+        return df
+    field, dtype = TIME_FIELDS[name]
+    timed = df.withColumn("_at", F.get_json_object(raw, f"$.{field}").try_cast(dtype))
+    return time_range(timed, "_at", as_of, days, limit, tie_breaker=raw).drop("_at")
+
+
+def read_bundle(
+    spark: SparkSession, landing: str, as_of: Any = None, days: int = 1, limit: int | None = 10000
+) -> dict[str, DataFrame]:
+    """The four record sets of a landing folder, one JSON record per line under ``<landing>/<set>``."""
+    return {
+        name: recent(read_lines(spark, f"{landing}/{name}").withColumnRenamed("value", "raw"), name, as_of, days, limit)
+        for name in TRANSFORMS
+    }
+
+
 TRANSFORMS = {"entries": entries, "treatments": treatments, "profiles": profiles, "devicestatus": device_status}
 
 

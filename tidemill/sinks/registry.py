@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.dates import instant
+from tidemill.operators.joins import orphans
 from tidemill.operators.upsert import upsert_columns
-from tidemill.sinks.versioned import publish
+from tidemill.sinks.versioned import publish, upsert_table
 
 REGISTRY = "warehouse.dataset_registry"
 DATASETS = "warehouse.datasets"
+PARTITIONS = "warehouse.partitions"
 # What changes when a dataset is registered again.
 UPDATED = ["description", "updated_at", "source_type", "location", "schema_json", "row_count", "metadata_json"]
 
@@ -83,3 +85,14 @@ def partition_stats(
             F.lit(storage_type).alias("storage_type"),
         )
     )
+
+
+def record_partitions(stats: DataFrame, root: str) -> int:
+    """Add or update the statistics of partitions in their table; returns how many."""
+    stats.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {PARTITIONS.split('.')[0]}")
+    return upsert_table(stats, PARTITIONS, root, ["dataset", "partition_key"])
+
+
+def unregistered_partitions(spark: SparkSession) -> DataFrame:
+    """Partition rows whose dataset is not in the registry."""
+    return orphans(spark.table(PARTITIONS), "dataset", spark.table(REGISTRY), "name")

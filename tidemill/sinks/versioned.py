@@ -7,7 +7,8 @@ was. Old version folders are kept until the owner removes them.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,16 @@ from tidemill.operators.upsert import newest, upsert, upsert_columns
 from tidemill.sinks.tables import counted
 
 
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    """Keep a batch that is read several times, in memory or on disk, until the load is done."""
+    df = df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def table_location(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").select("data_type")
     return rows.first()[0].rstrip("/")
@@ -54,7 +65,8 @@ def upsert_table(
     if version and table_location(spark, table).endswith(f"/{version}"):
         return 0
     seen = Observation()
-    publish(upsert(spark.table(table), batch, keys, order, seen), table, root, version)
+    with _kept(newest(batch, keys, order)) as incoming:
+        publish(upsert(spark.table(table), incoming, keys, order=(), seen=seen), table, root, version)
     return seen.get["rows"]
 
 
@@ -101,10 +113,11 @@ def upsert_partitions(
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in incoming.schema)
         spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{root}'")
     stored = spark.table(table)
-    touched = _touched(stored, incoming, keys, partition, stable)
     seen = Observation()
-    changed = upsert(stored.filter(F.col(partition).isin(touched)), incoming, keys, order=(), seen=seen)
-    changed.write.partitionBy(partition).parquet(version)
+    with _kept(incoming) as rows:
+        touched = _touched(stored, rows, keys, partition, stable)
+        changed = upsert(stored.filter(F.col(partition).isin(touched)), rows, keys, order=(), seen=seen)
+        changed.write.partitionBy(partition).parquet(version)
     folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
     written = spark.read.schema(stored.schema).parquet(version).select(partition, folder.alias("folder")).distinct()
     locations = {row[0]: row["folder"] for row in written.collect()}
