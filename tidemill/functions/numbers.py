@@ -6,13 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def parse_number(value: Column) -> Column:
-    """Lenient parse to double, bad text and NaN become null.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
-    A trailing ``d`` or ``f`` is a Java type suffix that the cast would accept, so it is refused here.
+
+def looks_numeric(text: Column) -> Column:
+    """Plain number text. Unlike a cast it refuses the Java type suffixes ``d`` and ``f``."""
+    return text.rlike(NUMBER)
+
+
+def parse_number(text: Column) -> Column:
+    """Lenient parse to double; bad text becomes null.
+
+    The cast runs on number texts only, because a failing one costs an exception per row.
     """
-    number = F.nanvl(value.try_cast("double"), F.lit(None).cast("double"))
-    return F.when(value.cast("string").rlike(r"[\d.][dDfF]\s*$"), F.lit(None)).otherwise(number)
+    return F.when(looks_numeric(text), text.try_cast("double"))
 
 
 def not_negative(number: Column) -> Column:

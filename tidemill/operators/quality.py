@@ -130,7 +130,7 @@ def split_valid(df: DataFrame, schema: str, required: Sequence[str]) -> tuple[Da
     fields = T.StructType.fromDDL(schema)
     values = {f.name: F.col(f.name) if f.name in df.columns else F.lit(None).cast("string") for f in fields}
     typed = {
-        f.name: parse_number(values[f.name]).cast(f.dataType)
+        f.name: parse_number(values[f.name].cast("string")).cast(f.dataType)
         if isinstance(f.dataType, T.FractionalType)
         else values[f.name].try_cast(f.dataType)
         for f in fields

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.errors import FormatError
+from tidemill.functions.numbers import looks_numeric
 from tidemill.operators.rows import SEQ
 
 # Texts that a CSV reader takes as missing.
@@ -78,7 +79,7 @@ def infer_types(df: DataFrame, text_columns: Sequence[str] = ()) -> dict[str, st
         text = F.col(c)
         fits = {
             "i": text.rlike(r"^\s*[+-]?(0|[1-9]\d*)\s*$") & text.try_cast("bigint").isNotNull(),
-            "d": text.try_cast("double").isNotNull() & ~text.rlike(r"^\s*[+-]?0\d|[dDfF]\s*$"),
+            "d": looks_numeric(text) & ~text.rlike(r"^\s*[+-]?0\d"),
             "b": F.lower(text).isin("true", "false"),
         }
         tests += [F.every(F.when(text.isNotNull(), test)).alias(f"{flag}{i}") for flag, test in fits.items()]
