@@ -9,7 +9,9 @@ from __future__ import annotations
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemill.operators.joins import lookup_join
 from tidemill.sources.files import read_parquet, spread
 
 AS_OF = "2001-09-01 00:00:00"
@@ -42,7 +44,7 @@ FEEDS = {
     """,
     # One message per order line.
     "raw_orders": """
-        SELECT o_orderkey AS order_id,
+        SELECT l_orderkey AS order_id,
                CASE WHEN o_orderpriority = '1-URGENT' AND l_returnflag = 'A' THEN NULL ELSE o_custkey END AS customer_id,
                CASE WHEN o_orderstatus = 'P' AND l_returnflag = 'N' THEN 'not known'
                     ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS order_date,
@@ -52,7 +54,7 @@ FEEDS = {
                  AS delivery_date,
                l_extendedprice AS item_price, CAST(l_quantity AS INT) AS quantity, l_suppkey AS store_id,
                l_linenumber AS _line, l_partkey AS _part, l_shipdate AS _shipped
-        FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey
+        FROM {order_lines}
     """,
     # The catalogue, then a price message per sale.
     "raw_products": """
@@ -124,10 +126,20 @@ def _spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spread(given, *SPREAD_BY[name]) if name in SPREAD_BY else given
 
 
-def put_tables(sql: str, naming) -> str:
+def order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with their order. Lines are the big side, and one order may have very many."""
+    orders = table(spark, folder, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    lines = _spread_table(spark, folder, "lineitem")
+    return lookup_join(lines, orders, "l_orderkey").filter(F.col("o_custkey").isNotNull())
+
+
+ORDER_LINES = "(SELECT * FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"
+
+
+def put_tables(sql: str, naming, lines: str = ORDER_LINES) -> str:
     for name in TABLES:
         sql = sql.replace("{" + name + "}", naming(name))
-    return sql
+    return sql.replace("{order_lines}", lines)
 
 
 def query(spark: SparkSession, folder: str, sql: str) -> DataFrame:
@@ -138,7 +150,9 @@ def query(spark: SparkSession, folder: str, sql: str) -> DataFrame:
             _spread_table(spark, folder, name).createOrReplaceTempView(f"given_{name}")
         return f"given_{name}"
 
-    return spark.sql(put_tables(sql, view))
+    if "{order_lines}" in sql:
+        order_lines(spark, folder).createOrReplaceTempView("given_order_lines")
+    return spark.sql(put_tables(sql, view, "given_order_lines"))
 
 
 def feed(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -87,7 +87,7 @@ def test_salting_spreads_the_hot_key_over_tasks(spark, skewed):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = joins.salted_join(facts, lookup, ["k"]).filter("k = 1")
+        joined = joins.salted_join(facts.repartition(16), lookup, ["k"]).filter("k = 1")
         per_task = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

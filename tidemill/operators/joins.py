@@ -64,14 +64,15 @@ def salted_join(
     """Shuffle join whose hot and null fact keys are spread over ``salts`` tasks.
 
     The lookup rows of hot keys are repeated once per salt, so each fact row still meets every match
-    exactly once. The salt is a hash of the row, hence the same when a lost task runs again. Null
-    keys match nothing and need no repeated lookup rows.
+    exactly once. The salt is the number of the task a row comes from: it spreads identical rows too,
+    needs no column, and is the same when a lost task runs again. Null keys match nothing and need no
+    repeated lookup rows.
     """
     if how not in ("left", "left_anti"):
         raise ValueError("how must be left or left_anti")
     hot = F.broadcast(hot_keys(facts, keys))
     any_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)).cast("int")
+    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
     left = (
         facts.withColumn("_key", key_hash(keys))
         .join(hot, F.col("_key") == F.col("_hot"), "left")

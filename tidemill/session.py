@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where the step after it then needs a shuffle of its own.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
