@@ -28,12 +28,15 @@ def lookup_join(
     on: Sequence[str] | str,
     how: str = "left",
     broadcast_limit: int | None = None,
+    sketch_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join facts to a lookup; ``how`` is ``left`` or ``left_anti``.
 
     A lookup within Spark's own broadcast limit is left to Spark, which then moves no fact row. A
-    larger one is joined by shuffle, with the hot fact keys split (see ``salted_join``). Other columns
-    that both sides have get the suffixes ``_x`` and ``_y``.
+    larger one is joined by shuffle, with the hot fact keys split (see ``salted_join``). The hot keys
+    are looked for in ``sketch_from``, by default in the facts: name the stored table they come from
+    when the facts are costly to compute. Other columns that both sides have get the suffixes ``_x``
+    and ``_y``.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how == "left":
@@ -41,7 +44,7 @@ def lookup_join(
     limit = auto_broadcast_limit(facts) if broadcast_limit is None else broadcast_limit
     if 0 <= estimated_bytes(lookup) <= limit:
         return facts.join(lookup, keys, how)
-    return salted_join(facts, lookup, keys, how)
+    return salted_join(facts, lookup, keys, how, sketch_from=sketch_from)
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -59,7 +62,12 @@ def hot_keys(facts: DataFrame, keys: Sequence[str], most: int = HOT_KEYS) -> Dat
 
 
 def salted_join(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", salts: int = SALTS
+    facts: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    salts: int = SALTS,
+    sketch_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join whose hot and null fact keys are spread over ``salts`` tasks.
 
@@ -70,7 +78,7 @@ def salted_join(
     """
     if how not in ("left", "left_anti"):
         raise ValueError("how must be left or left_anti")
-    hot = F.broadcast(hot_keys(facts, keys))
+    hot = F.broadcast(hot_keys(facts if sketch_from is None else sketch_from, keys))
     any_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
     spread = F.pmod(F.spark_partition_id(), F.lit(salts))
     left = (

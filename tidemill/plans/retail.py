@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions import dates, numbers, text
-from tidemill.operators.joins import lookup_join
+from tidemill.operators.joins import lookup_join, suffix_clashes
 from tidemill.operators.rows import (
     SEQ,
     add_if_absent,
@@ -146,7 +146,7 @@ def enrich_inventory(
     ):
         if key in enriched.columns and key in lookup.columns:
             columns = lookup.select(key, *existing(lookup, wanted))
-            enriched = lookup_join(enriched, columns, key, broadcast_limit=broadcast_limit)
+            enriched = lookup_join(enriched, columns, key, broadcast_limit=broadcast_limit, sketch_from=inventory)
     if "quantity" in enriched.columns:
         for name, unit in (("inventory_value", "cost"), ("retail_value", "price")):
             if unit in enriched.columns:
@@ -239,7 +239,6 @@ def sales_by_store_mart(
     products: DataFrame | None,
     stores: DataFrame,
     unique_orders: bool = False,
-    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """Sales per store and month with the store's attributes.
 
@@ -259,4 +258,6 @@ def sales_by_store_mart(
             F.avg("order_total").alias("avg_order_value"),
         )
     )
-    return lookup_join(monthly, stores, "store_id", broadcast_limit=broadcast_limit)
+    # A store has one row per month by now, so no key of this join can be hot.
+    left, right = suffix_clashes(monthly, stores, ["store_id"])
+    return left.join(right, "store_id", "left")
