@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.feeds import query, table
+from tidemill.functions.dates import to_instant
 from tidemill.plans import glucose
 from tidemill.sources.landed import glucose_readings, time_range
 
@@ -15,7 +16,7 @@ ENTRIES = """
     SELECT concat('{"_id":"e', event_id, '","device":"dev-', user_id, '","date":',
         CASE event_type WHEN 'click' THEN concat('"', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS"), 'Z"')
                         WHEN 'error' THEN '0' WHEN 'signup' THEN '1.5' WHEN 'view' THEN '"no date"'
-                        ELSE CAST(unix_millis(CAST(ts AS TIMESTAMP)) AS STRING) END,
+                        ELSE CAST(unix_millis(CAST(convert_timezone('UTC', current_timezone(), ts) AS TIMESTAMP)) AS STRING) END,
         ',"dateString":"', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS"), 'Z"',
         CASE event_type WHEN 'signup' THEN ',"sgv":null' WHEN 'error' THEN ''
                         ELSE concat(',"sgv":', CAST(floor(value) AS STRING)) END,
@@ -103,7 +104,7 @@ def targets(spark: SparkSession, folder: str) -> DataFrame:
 def recent_range(spark: SparkSession, folder: str) -> DataFrame:
     """Top 500 of ten days by epoch milliseconds."""
     events = table(spark, folder, "events")
-    millis = events.withColumn("date", F.unix_millis(F.col("ts").cast("timestamp"))).select("event_id", "date", "value")
+    millis = events.withColumn("date", F.unix_millis(to_instant(F.col("ts")))).select("event_id", "date", "value")
     return time_range(millis, "date", NOON, days=10, limit=500, tie_breaker="event_id")
 
 

@@ -5,22 +5,47 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+# A time of day followed by a zone or offset.
+ZONED = r"(?i):\d\d(\.\d+)?\s*(z|utc|gmt|[+-]\d\d(:?\d\d)?)$"
+
+
+def from_instant(moment: Column) -> Column:
+    """A point in time as its UTC date and time, whatever zone the session has."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(moment), F.expr(EPOCH))
+
+
+def to_instant(utc: Column) -> Column:
+    """The point in time of a UTC date and time."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), utc).cast("timestamp")
 
 
 def parse_timestamp(text: Column, formats: Sequence[str] = ()) -> Column:
-    """Lenient parse: ISO forms first, then ``formats`` in order; anything else is null."""
-    iso = text.try_cast("timestamp").cast("timestamp_ntz")
+    """Lenient parse: ISO forms first, then ``formats`` in order; anything else is null.
+
+    Text with a zone becomes UTC, text without one is taken as it stands.
+    """
+    zoned = from_instant(text.try_cast("timestamp"))
+    iso = F.when(text.rlike(ZONED), zoned).otherwise(text.try_cast("timestamp_ntz"))
     others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.coalesce(iso, *others) if others else iso
 
 
+def timestamp_column(df: DataFrame, name: str, formats: Sequence[str] = ()) -> Column:
+    """A date column of any type as a timestamp: text is parsed, dates and times are converted."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.StringType):
+        return parse_timestamp(F.col(name), formats)
+    return from_instant(F.col(name)) if isinstance(dtype, T.TimestampType) else F.col(name).cast("timestamp_ntz")
+
+
 def parse_timestamp_strict(text: Column) -> Column:
     """Parse that fails the job on bad text; null stays null."""
-    parsed = parse_timestamp(text)
+    parsed = parse_timestamp(text.cast("string"))
     bad = F.concat(F.lit("not a date: "), text.cast("string"))
     return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(bad)).otherwise(parsed)
 
@@ -52,5 +77,5 @@ def days_until_midnight_of(as_of: Column, moment: Column) -> Column:
 def instant(as_of: dt.datetime | str | None) -> Column:
     """The clock: a given moment, or now. Every function that reads the clock goes through here."""
     if as_of is None:
-        return F.current_timestamp().cast("timestamp_ntz")
+        return from_instant(F.current_timestamp())
     return F.lit(str(as_of)).cast("timestamp_ntz")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.functions.dates import parse_timestamp
+from tidemill.functions.dates import parse_timestamp, timestamp_column
 from tidemill.functions.jsons import default_if_absent, parse_records, present, require_keys, without_keys
 from tidemill.sources.files import read_json_documents
 
@@ -191,7 +191,7 @@ def users(df: DataFrame) -> DataFrame:
 
 def generic(df: DataFrame) -> DataFrame:
     """Any other record: ``url`` also as ``api_url``, the two dates parsed, all else unchanged."""
-    changes = {c: parse_timestamp(F.col(c)) for c in ("created_at", "updated_at") if c in df.columns}
+    changes = {c: timestamp_column(df, c) for c in ("created_at", "updated_at") if c in df.columns}
     if "url" in df.columns:
         changes["api_url"] = F.col("url")
     return df.withColumns(changes)

@@ -41,9 +41,9 @@ def _require(df: DataFrame, columns: Sequence[str]) -> None:
 
 
 def _dates(df: DataFrame, columns: Sequence[str], formats: Sequence[str]) -> DataFrame:
-    """Parse the date columns that are still text; frames from a cleaned layer pass through."""
+    """Bring the date columns to timestamps; those of a cleaned layer pass through."""
     found = [c for c in existing(df, columns) if not isinstance(df.schema[c].dataType, T.TimestampNTZType)]
-    return df.withColumns({c: dates.parse_timestamp(F.col(c), formats) for c in found})
+    return df.withColumns({c: dates.timestamp_column(df, c, formats) for c in found})
 
 
 def _number(df: DataFrame, column: str) -> Column:

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 SETTINGS = {
-    # Timestamps are stored without zone and mean UTC; parsing text with a zone relies on this.
+    # Timestamps are stored without zone and mean UTC.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",

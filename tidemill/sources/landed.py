@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.errors import FormatError
-from tidemill.functions.dates import instant
+from tidemill.functions.dates import instant, timestamp_column, to_instant
 from tidemill.operators.rows import SEQ, add_if_absent
 from tidemill.sources.files import read_json_documents, read_json_lines, with_ingest_order
 
@@ -59,14 +59,14 @@ def time_range(
 ) -> DataFrame:
     """Rows within the last ``days`` days up to ``as_of`` (both ends included), newest first, capped.
 
-    The column may hold timestamps, epoch milliseconds or ISO text; the bound is brought to its type
+    The column may hold timestamps, epoch milliseconds or ISO text in UTC; the bound is brought to its type
     so that the comparison can be pushed to the source.
     """
     end = instant(as_of)
     start = end - F.make_dt_interval(F.lit(days))
     dtype = df.schema[column].dataType
     if isinstance(dtype, (T.LongType, T.IntegerType)):
-        low, high = F.unix_millis(start.cast("timestamp")), F.unix_millis(end.cast("timestamp"))
+        low, high = F.unix_millis(to_instant(start)), F.unix_millis(to_instant(end))
     elif isinstance(dtype, T.StringType):
         low, high = (F.date_format(b, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") for b in (start, end))
     else:
@@ -88,7 +88,7 @@ def glucose_readings(df: DataFrame, as_of: dt.datetime | str | None = None, look
     for name in ("device", "type", "direction", "noise", "filtered", "unfiltered", "rssi"):
         df = add_if_absent(df, name, F.lit(None).cast("string"))
     bad = F.raise_error(F.lit("a reading lacks sgv")).cast("boolean")
-    moment = F.col("dateString").cast("timestamp").cast("timestamp_ntz")
+    moment = timestamp_column(df, "dateString")
     return (
         df.filter(moment.between(start, end))
         .filter(F.when(F.col("sgv").isNull(), bad).otherwise(True))
