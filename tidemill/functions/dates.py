@@ -30,7 +30,8 @@ def parse_timestamp(text: Column, formats: Sequence[str] = ()) -> Column:
     Text with a zone becomes UTC, text without one is taken as it stands.
     """
     zoned = from_instant(text.try_cast("timestamp"))
-    iso = F.when(text.rlike(ZONED), zoned).otherwise(text.try_cast("timestamp_ntz"))
+    has_zone = (F.length(text) > len("2024-01-01T00:00")) & text.rlike(ZONED)
+    iso = F.when(has_zone, zoned).otherwise(text.try_cast("timestamp_ntz"))
     others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.coalesce(iso, *others) if others else iso
 
