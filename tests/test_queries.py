@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from checks import ORACLES, QUERIES
 from checks.feeds import TABLES
 from verify import compare
 
@@ -19,12 +20,12 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    result = compare(queries()[name](spark, FOLDER), duck, oracle_sql()[name])
+    result = compare(QUERIES[name](spark, FOLDER), duck, ORACLES[name])
     assert result.startswith("ok") and "types" not in result, result
 
 
