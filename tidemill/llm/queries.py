@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import packing, sharding, token_counts
+from tidemill.llm import jaccard_join, packing, sharding, token_counts
 from tidemill.llm.tokens import public_path
 from tidemill.llm.workers import share_package
 
@@ -26,13 +26,18 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    return jaccard_join.link_documents(docs, size=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     counted = token_counts.count_tokens(docs, public_path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op7_packing, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op7_packing, op8_jaccard_join, op9_token_counts)}
 
 ORACLES: dict[str, str] = {
     "op2_sharding": """
