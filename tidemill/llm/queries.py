@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import jaccard_join, packing, sharding, token_counts
+from tidemill.llm import jaccard_join, lattice_scoring, packing, quality_classifier, quality_rules, sharding, token_counts
 from tidemill.llm.tokens import public_path
 from tidemill.llm.workers import share_package
 
@@ -16,10 +16,38 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return share_package(spark).read.parquet(f"{folder}/documents.parquet")
 
 
+def remainder(n: int) -> Column:
+    """The CRC-32 of an id's text modulo ``n``; of a null id, of the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text").withColumn("held_out", remainder(3) == 1)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter(remainder(3) != 1)
+    chosen = quality_classifier.sample_labels(labels, "quality")
+    labelled = docs.join(F.broadcast(chosen), "doc_id")
+    model = quality_classifier.fit_classifier(labelled)
+    return quality_classifier.classify(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(documents(spark, folder).select("doc_id"), SHARDS)
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text", "lang")
+    judged = quality_rules.apply_rules(docs, carry=["doc_id"])
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "log_perplexity", "lower", "upper",
+    )
+
+
+def op5_lattice_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    return lattice_scoring.score_documents(docs, remainder(7) == 2, public_path("piece_bpe_32k.model"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     packed = packing.pack_documents(docs, public_path("byte_bpe_50k.json"), digest=True)
@@ -37,7 +65,10 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op7_packing, op8_jaccard_join, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_classifier, op2_sharding, op3_quality_rules, op5_lattice_scoring, op7_packing, op8_jaccard_join,
+    op9_token_counts,
+)}
 
 ORACLES: dict[str, str] = {
     "op2_sharding": """
