@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import jaccard_join, lattice_scoring, packing, quality_classifier, quality_rules, sharding, token_counts
+from tidemill.llm import (
+    decontamination, jaccard_join, lattice_scoring, licences, packing, quality_classifier, quality_rules, secrets,
+    sharding, token_counts,
+)
 from tidemill.llm.tokens import public_path
 from tidemill.llm.workers import share_package
 
@@ -43,11 +46,28 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    return decontamination.find_items(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 def op5_lattice_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     return lattice_scoring.score_documents(docs, remainder(7) == 2, public_path("piece_bpe_32k.model"))
 
 
+def _spans_of(kind: int) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = secrets.find_secrets(docs, carry=["doc_id"])
+    counts = [_spans_of(k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])]
+    digest = F.sha2(secrets.as_text(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secrets.as_text(F.col("spans")).alias("spans"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     packed = packing.pack_documents(docs, public_path("byte_bpe_50k.json"), digest=True)
@@ -65,9 +85,16 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents lie in a folder of their language inside that of their source."""
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    docs = documents(spark, folder).select("doc_id", path.alias("path"), "text")
+    return licences.scan_licences(docs).select("doc_id", "path", "license", "similarity", "how", "from_dir")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_classifier, op2_sharding, op3_quality_rules, op5_lattice_scoring, op7_packing, op8_jaccard_join,
-    op9_token_counts,
+    op1_quality_classifier, op2_sharding, op3_quality_rules, op4_decontamination, op5_lattice_scoring, op6_secrets,
+    op7_packing, op8_jaccard_join, op9_token_counts, op10_licences,
 )}
 
 ORACLES: dict[str, str] = {
