@@ -6,7 +6,7 @@ probabilities from it. Pieces do not cross words (each word starts with ``▁``)
 product of its words' marginals, each a forward recursion in log space over the word's lattice, and of an end.
 
 Spark counts words over all documents and scores each different word once. Documents travel in blocks of about
-16 MB of text: a block's words go to the word table and back, its documents stay as word numbers.
+8 MB of text: a block's words go to the word table and back, its documents stay as word numbers.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemill.llm import scan
 from tidemill.sinks.layers import store
 
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 _LN10 = math.log(10.0)
 
 _BLOCK = "block long, doc_id array<long>, held_out array<boolean>, firsts binary, numbers binary, words array<binary>, counts array<long>"
@@ -45,8 +45,8 @@ def _blocks(docs: DataFrame) -> DataFrame:
             test = np.array(docs.column("held_out").to_pylist(), dtype=bool)
             counts = np.concatenate(sizes)
             numbers, different = pd.factorize(np.concatenate(hashes))
-            seen = np.maximum.accumulate(np.concatenate([[-1], numbers]))[:-1]
-            found, at = np.flatnonzero(numbers > seen), 0
+            numbers = numbers.astype("<i4")
+            found, at = np.flatnonzero(np.diff(np.maximum.accumulate(numbers), prepend=np.int32(-1))), 0
             words = []
             for data, (starts, ends) in zip(datas, places):
                 text = data.tobytes()
@@ -57,7 +57,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             firsts = np.concatenate([[0], np.cumsum(counts)]).astype("<i8")
             return pa.RecordBatch.from_arrays(
                 [pa.array([serial], pa.int64()), pa.array([docs.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                 pa.array([test.tolist()], pa.list_(pa.bool_())), pa.array([firsts.tobytes()]), pa.array([numbers.astype("<i4").tobytes()]),
+                 pa.array([test.tolist()], pa.list_(pa.bool_())), pa.array([firsts.tobytes()]), pa.array([numbers.tobytes()]),
                  pa.array([words], pa.list_(pa.binary())), pa.array([training.tolist()], pa.list_(pa.int64()))],
                 names=["block", "doc_id", "held_out", "firsts", "numbers", "words", "counts"],
             )
@@ -67,7 +67,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 data = scan.LOWER[data]
                 starts, ends, words = scan.words(data, offsets)
                 hashes.append(scan.SpanHasher(data)(starts, ends))
-                places.append((starts, ends))
+                places.append((starts.astype(np.int32), ends.astype(np.int32)))
                 sizes.append(np.diff(words))
                 datas.append(data)
                 rows.append(batch.select(["doc_id", "held_out"]).slice(first, last - first))
