@@ -8,7 +8,8 @@ Two sets with a Jaccard similarity of at least ``percent`` share a gram within t
 3. Each node proposes a link to the most similar of the groups next to it in its index lists, or of its own
    group. These are verified and joined into components. Components need not be searched again inside.
 4. All pairs of nodes of different components that meet in an index list are filtered by size and by a bound on
-   the difference (parities of hashed grams), expanded to nodes and verified.
+   the difference (parities of hashed grams, 256 in the join, then about one for each gram), expanded to nodes and
+   verified.
 
 So a group of thousands of near copies costs a link for each, not one for each two, and no pair is lost. The
 order of grams puts those that repeat most last (they do not fill index lists) and goes by hash otherwise; it
@@ -33,6 +34,8 @@ from tidemill.sinks.layers import store
 FREQUENT = 1 << 18
 LEAST_REPEATS = 8
 _PARITY = 256  # bits
+#: Least and most bits of a set's wide parities: about one for each gram.
+_WIDE = (512, 1 << 15)
 
 
 def gram_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -109,31 +112,44 @@ def _parities(grams: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def _wide_parities(grams: np.ndarray) -> bytes:
+    size = min(max(_WIDE[0], 1 << (len(grams) - 1).bit_length() if len(grams) else 0), _WIDE[1])
+    bits = np.bincount((grams % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+def wide_difference(a: bytes, b: bytes) -> int:
+    """At most the number of grams that only one of two sets has; the longer parities are folded to the shorter."""
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    return int(np.bitwise_count(np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0) ^ x).sum())
+
+
 def _key(text: str) -> Column:
     return F.xxhash64(F.col(text), F.col("doc_id"))
 
 
 def _sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """A stored row per document: ``doc_id``, ``key`` (of its row), ``n`` (set size), ``node``, ``prefix``, ``parity``."""
+    """A stored row per document: ``doc_id``, ``key`` (of its row), ``n`` (set size), ``node``, ``prefix``, ``parity``, ``wide``."""
     frequent, ranks = _frequent(docs, size)
     shared = docs.sparkSession.sparkContext.broadcast((frequent, ranks))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes, prefixes, parities = [], [], [], []
+            sizes, nodes, prefixes, parities, wide = [], [], [], [], []
             for grams in gram_sets(batch.column("text"), size):
                 sizes.append(len(grams))
                 nodes.append(blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
                 prefixes.append(_prefix(grams, percent, *shared.value).view(np.int64) if len(grams) else [])
                 parities.append(_parities(grams))
+                wide.append(_wide_parities(grams))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
-                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64()))],
-                names=["doc_id", "key", "n", "node", "prefix", "parity"],
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64())), pa.array(wide, pa.binary())],
+                names=["doc_id", "key", "n", "node", "prefix", "parity", "wide"],
             )
 
     rows = docs.select("doc_id", "text", _key("text").alias("key"))
-    schema = "doc_id long, key long, n long, node binary, prefix array<long>, parity array<long>"
+    schema = "doc_id long, key long, n long, node binary, prefix array<long>, parity array<long>, wide binary"
     return store(rows.mapInArrow(sketch, schema), "sketches")
 
 
@@ -152,6 +168,20 @@ def _close(a: str, b: str, percent: int) -> Column:
     return difference * (100 + percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent)
 
 
+def _narrowed(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those pairs of nodes that the wide parities leave possible."""
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("n_a", "n_b", "wide_a", "wide_b")]
+            mask = [wide_difference(x, y) * (100 + percent) <= (n + m) * (100 - percent) for n, m, x, y in zip(*columns)]
+            yield batch.select(["a", "b"]).filter(pa.array(mask, pa.bool_()))
+
+    sizes = nodes.select("node", "n", "wide")
+    both = pairs.join(sizes.toDF("a", "n_a", "wide_a"), "a").join(sizes.toDF("b", "n_b", "wide_b"), "b")
+    return both.mapInArrow(possible, "a binary, b binary")
+
+
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those pairs ``a``, ``b`` of nodes whose sets have the similarity, from the whole texts of one document each."""
 
@@ -182,7 +212,7 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = _sketches(docs, size, percent)
-    first = F.min(F.struct("doc_id", "key", "n", "prefix", "parity")).alias("first")
+    first = F.min(F.struct("doc_id", "key", "n", "prefix", "parity", "wide")).alias("first")
     nodes = sketches.filter(F.col("n") > 0).groupBy("node").agg(first).select("node", "first.*")
     group = Window.partitionBy("n", "prefix")
     nodes = store(nodes.withColumn("group", F.min("node").over(group)), "nodes")
@@ -205,7 +235,7 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str
     compared = proposed.distinct().join(sketch.alias("x"), F.col("a") == F.col("x.node")).join(sketch.alias("y"), F.col("b") == F.col("y.node"))
     distance = _difference(F.col("x.parity"), F.col("y.parity"))
     best = compared.filter(_close("x", "y", percent)).groupBy("a").agg(F.min(F.struct(distance, "b")).alias("best"))
-    links = _verified(docs, nodes, store(best.select("a", "best.b"), "proposed"), size, percent)
+    links = _verified(docs, nodes, store(_narrowed(nodes, best.select("a", "best.b"), percent), "proposed"), size, percent)
     found = store(connected_components(links), "components")
 
     # All other pairs that may be similar lie in different components.
@@ -220,7 +250,8 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str
     before = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
     other = (F.col("x.gram") == F.col("y.gram")) & before & (F.col("x.component") != F.col("y.component"))
     pairs = x.join(y, other & _fits(F.col("x.n"), F.col("y.n"), percent) & _close("x", "y", percent))
-    pairs = store(pairs.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct(), "pairs")
+    pairs = pairs.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
+    pairs = store(_narrowed(nodes, pairs, percent), "pairs")
     more = _verified(docs, nodes, pairs, size, percent)
     found = store(connected_components(links.unionByName(more)), "components")
 
