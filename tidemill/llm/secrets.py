@@ -123,7 +123,7 @@ def find_secrets(docs: DataFrame, text: str = "text", carry: list[str] | None =
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *spans], names=[*kept, "base", "weak"])
 
     scanned = store(rows.mapInArrow(scan, schema).withColumn("row", F.monotonically_increasing_id()), "secrets")
-    linked = _linked(scanned.select("row", "base", "weak"), scope)
+    linked = store(_linked(scanned.select("row", "base", "weak"), scope), "linked")  # its size decides how it is joined
     joined = scanned.join(linked, "row", "left")
     none = F.array().cast(_SPAN)
     order = lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["kind"] - b["kind"])
