@@ -110,8 +110,8 @@ PRODUCTS_ORDER = ("_shipped", "_order", "_line", "_store")
 STORES_ORDER = ("_shipped", "_order", "_line", "_part")
 
 
-# Keys by which a small table is spread over the cores.
-SPREAD_BY = {"lineitem": ["l_orderkey"], "orders": ["o_orderkey"], "events": ["event_id"], "customer": ["c_custkey"]}
+# Tables that are spread over the cores when they are one file.
+SPREAD = ("lineitem", "orders", "events", "customer")
 
 
 @lru_cache(maxsize=64)
@@ -123,7 +123,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @lru_cache(maxsize=64)
 def _spread_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     given = table(spark, folder, name)
-    return spread(given, *SPREAD_BY[name]) if name in SPREAD_BY else given
+    return spread(given) if name in SPREAD else given
 
 
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:

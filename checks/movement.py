@@ -103,7 +103,7 @@ STATUSES = "SELECT o_orderkey AS id, o_totalprice AS price, o_orderstatus AS sta
 CHANGES = """
     SELECT l_orderkey AS id, l_extendedprice AS price, l_returnflag AS status, l_linenumber AS _line, l_partkey AS _part,
            l_shipdate AS _shipped
-    FROM {lineitem} WHERE l_linestatus = 'F'
+    FROM {lineitem}
 """
 BATCH_ORDER = ("_shipped", "_line", "_part")
 

@@ -123,3 +123,30 @@ def test_scalar_or_member(spark):
     documents = ["1.5", '{"bolusiob": 2.5}', '{"other": 1}', "null", None]
     got = column(spark, documents, "string", lambda c: jsons.scalar_or_member(F.parse_json(c), "bolusiob", "double"))
     assert got == [1.5, 2.5, None, None, None]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_iso_forms_and_limits_in_any_session_zone(spark, rows, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        forms = {
+            "2024-01-01T10:00+02:00": dt.datetime(2024, 1, 1, 8),
+            "2024-01-01 10:00:00 Europe/Paris": dt.datetime(2024, 1, 1, 9),
+            "20240102": dt.datetime(2024, 1, 2),
+            "20240102T0304": dt.datetime(2024, 1, 2, 3, 4),
+            "2024-W01-1": dt.datetime(2024, 1, 1),
+            "2020-W53-7": dt.datetime(2021, 1, 3),
+            "2024-W60-1": None,
+            "2024-01-01 10:00:00 Nowhere/Atall": None,
+        }
+        df = rows([(t,) for t in forms], "t string")
+        assert {r.t: r.p for r in df.select("t", dates.parse_timestamp(F.col("t")).alias("p")).collect()} == forms
+        days = rows([("2024-03-10 02:30:00", "2024-03-11 03:00:00")], "a string, b string").select(
+            dates.elapsed_days(F.col("a").cast("timestamp_ntz"), F.col("b").cast("timestamp_ntz"))
+        )
+        assert days.first()[0] == 1
+        far = rows([(99999999999999999,), (0,)], "m long").select(dates.from_epoch_millis(F.col("m")))
+        assert [r[0] for r in far.collect()] == [None, dt.datetime(1970, 1, 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

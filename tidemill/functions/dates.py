@@ -11,7 +11,13 @@ from pyspark.sql import types as T
 
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 # A time of day followed by a zone or offset.
-ZONED = r"(?i):\d\d(\.\d+)?\s*(z|utc|gmt|[+-]\d\d(:?\d\d)?)$"
+ZONED = r"(?i):\d\d(\.\d+)?\s*(z|[+-]\d\d(:?\d\d)?|[a-z]{2,5}|[a-z]+(/[a-z_+-]+)+\d*)$"
+# A zone right after the minutes, and ISO's basic and week forms of a date.
+NO_SECONDS = r"(?i)^(\d{4}-\d\d-\d\d[T ]\d\d:\d\d)(\s*(?:z|[+-]\d\d(?::?\d\d)?|[a-z]{2,5}|[a-z]+(?:/[a-z_]+)+))$"
+BASIC = r"^(\d{4})(\d\d)(\d\d)(?:T(\d\d):?(\d\d):?(\d\d)?)?$"
+WEEK = r"^(\d{4})-?W(\d\d)(?:-?([1-7]))?$"
+#: Epoch milliseconds of the years 1 to 9999.
+MILLIS = (-62135596800000, 253402300799999)
 
 
 def from_instant(moment: Column) -> Column:
@@ -27,13 +33,27 @@ def to_instant(utc: Column) -> Column:
 def parse_timestamp(text: Column, formats: Sequence[str] = ()) -> Column:
     """Lenient parse: ISO forms first, then ``formats`` in order; anything else is null.
 
-    Text with a zone becomes UTC, text without one is taken as it stands.
+    Text with a zone or zone name becomes UTC (an unknown zone makes it null), text without one is taken as it stands.
     """
+    text = F.regexp_replace(text, NO_SECONDS, "$1:00$2")
     zoned = from_instant(text.try_cast("timestamp"))
     has_zone = (F.length(text) > len("2024-01-01T00:00")) & text.rlike(ZONED)
     iso = F.when(has_zone, zoned).otherwise(text.try_cast("timestamp_ntz"))
     others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(iso, *others) if others else iso
+    return F.coalesce(iso, *others, basic_or_week_date(text))
+
+
+def basic_or_week_date(text: Column) -> Column:
+    """``20240131``, ``20240131T101500``, ``2024-W05`` or ``2024-W05-3``; anything else is null."""
+    basic = F.regexp_replace(text, BASIC, "$1-$2-$3 $4:$5:$6")
+    basic = F.regexp_replace(F.regexp_replace(basic, " ::$", ""), ":$", ":00").try_cast("timestamp_ntz")
+    year, week, day = (F.try_to_number(F.nullif(F.regexp_extract(text, WEEK, i), F.lit("")), F.lit("9999")).cast("int") for i in (1, 2, 3))
+    first = F.make_date(year, F.lit(1), F.lit(4))
+    first = F.date_sub(first, F.weekday(first))
+    date = F.date_add(first, (week - 1) * 7 + F.coalesce(day, F.lit(1)) - 1)
+    last = F.date_add(F.make_date(year, F.lit(12), F.lit(28)), 0)
+    week_date = F.when(week.between(1, F.weekofyear(last)), date).cast("timestamp_ntz")
+    return F.when(text.rlike(BASIC), basic).when(text.rlike(WEEK), week_date)
 
 
 def timestamp_column(df: DataFrame, name: str, formats: Sequence[str] = ()) -> Column:
@@ -52,7 +72,9 @@ def parse_timestamp_strict(text: Column) -> Column:
 
 
 def from_epoch_millis(millis: Column) -> Column:
-    return F.timestamp_add("MILLISECOND", millis.cast("long"), F.expr(EPOCH))
+    """Milliseconds since 1970; null outside the years 1 to 9999."""
+    known = F.when(millis.between(*MILLIS), millis.cast("long"))
+    return F.timestamp_add("MILLISECOND", known, F.expr(EPOCH))
 
 
 def parse_variant_timestamp(value: Column) -> Column:
@@ -66,7 +88,7 @@ def parse_variant_timestamp(value: Column) -> Column:
 
 def elapsed_days(start: Column, end: Column) -> Column:
     """Whole days from start to end; null when the end lies before the start."""
-    return F.when(end >= start, F.timestamp_diff("DAY", start, end))
+    return F.when(end >= start, F.extract(F.lit("DAY"), end - start).cast("long"))
 
 
 def days_until_midnight_of(as_of: Column, moment: Column) -> Column:

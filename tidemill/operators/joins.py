@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_KEYS = 64  # bound on the number of keys that are split, and so on what is broadcast for it
 TRACKED = 4096  # size of the frequency sketch
@@ -72,15 +73,16 @@ def salted_join(
     """Shuffle join whose hot and null fact keys are spread over ``salts`` tasks.
 
     The lookup rows of hot keys are repeated once per salt, so each fact row still meets every match
-    exactly once. The salt is the number of the task a row comes from: it spreads identical rows too,
-    needs no column, and is the same when a lost task runs again. Null keys match nothing and need no
-    repeated lookup rows.
+    exactly once. The salt is a hash of the row and of the task it comes from: it spreads different rows of
+    one task and equal rows of different tasks, and is the same when a lost task runs again. Null keys
+    match nothing and need no repeated lookup rows.
     """
     if how not in ("left", "left_anti"):
         raise ValueError("how must be left or left_anti")
     hot = F.broadcast(hot_keys(facts if sketch_from is None else sketch_from, keys))
     any_null = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
-    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
+    plain = [f.name for f in facts.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *plain), F.lit(salts)).cast("int")
     left = (
         facts.withColumn("_key", key_hash(keys))
         .join(hot, F.col("_key") == F.col("_hot"), "left")
@@ -108,5 +110,5 @@ def suffix_clashes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tu
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str, **options) -> DataFrame:
     """Child rows without a parent; null references are reported too."""
-    referenced = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull()).distinct()
+    referenced = parent.select(F.col(parent_column).alias(column)).filter(F.col(column).isNotNull())
     return lookup_join(child, referenced, column, "left_anti", **options).select(*child.columns)

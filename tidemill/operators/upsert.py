@@ -4,19 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.rows import SEQ, drop_bookkeeping, keep_last
 
 
 def newest(batch: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """The batch with one row per key, when it has an order to say which; else as it is."""
+    """The batch with one row per key, the last by ``order`` or by ingest position.
+
+    Without either a repeated key fails the job. An empty order says that the batch is reduced already.
+    """
     if order is None and SEQ in batch.columns:
         order = (SEQ,)
+    if order is None:
+        return single(batch, keys)
     return drop_bookkeeping(keep_last(batch, keys, order), order) if order else batch
 
 
+def single(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The batch as it is; a key that comes twice fails the job (null keys match nothing and may repeat)."""
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    again = F.raise_error(F.lit(f"a batch without order repeats a key: {', '.join(keys)}")).cast("boolean")
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    numbered = batch.withColumn("_place", place)
+    return numbered.filter(F.when(keyed & (F.col("_place") > 1), again).otherwise(True)).drop("_place")
+
+
 def upsert(
     existing: DataFrame,
     batch: DataFrame,
@@ -30,20 +46,28 @@ def upsert(
     the batch take part in the join: while they are small Spark broadcasts them and the big table
     is not shuffled. ``seen`` counts the batch rows that go in.
     """
-    kept = existing.join(batch.select(*keys).distinct(), list(keys), "left_anti")
     incoming = newest(batch, keys, order)
+    kept = existing.join(incoming.select(*keys), list(keys), "left_anti")
     if seen is not None:
         incoming = incoming.observe(seen, F.count(F.lit(1)).alias("rows"))
     return kept.unionByName(incoming, allowMissingColumns=True).select(*existing.columns)
 
 
 def upsert_columns(
-    existing: DataFrame, batch: DataFrame, keys: Sequence[str], update: Sequence[str]
+    existing: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    update: Sequence[str],
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Upsert where a key clash changes only the ``update`` columns; the others keep their old value."""
-    old, new = existing.alias("o"), batch.alias("n")
+    """Upsert where a key clash changes only the ``update`` columns; the others keep their old value.
+
+    A batch that repeats a key is reduced to its last row by ``order``.
+    """
+    old = existing.withColumn("_there", F.lit(True)).alias("o")
+    new = newest(batch, keys, order).withColumn("_there", F.lit(True)).alias("n")
     same = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in keys]
-    in_old, in_new = F.col(f"o.{keys[0]}").isNotNull(), F.col(f"n.{keys[0]}").isNotNull()
+    in_old, in_new = F.col("o._there").isNotNull(), F.col("n._there").isNotNull()
     columns = []
     for c in existing.columns:
         if c in keys:

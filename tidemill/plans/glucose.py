@@ -149,8 +149,8 @@ def device_status(df: DataFrame, raw: str = "raw") -> DataFrame:
 TIME_FIELDS = {"entries": ("date", "bigint"), "treatments": ("created_at", "string"), "devicestatus": ("created_at", "string")}
 
 
-def recent(df: DataFrame, name: str, as_of: Any = None, days: int = 1, limit: int | None = 10000, raw: str = "raw") -> DataFrame:
-    """Records of a set within the last days, newest first and capped; profiles are never cut."""
+def recent(df: DataFrame, name: str, as_of: Any = None, days: int = 1, limit: int | None = None, raw: str = "raw") -> DataFrame:
+    """Records of a set within the last days, with ``limit`` only the newest of them; profiles are never cut."""
     if name not in TIME_FIELDS:
         return df
     field, dtype = TIME_FIELDS[name]
@@ -159,7 +159,7 @@ def recent(df: DataFrame, name: str, as_of: Any = None, days: int = 1, limit: in
 
 
 def read_bundle(
-    spark: SparkSession, landing: str, as_of: Any = None, days: int = 1, limit: int | None = 10000
+    spark: SparkSession, landing: str, as_of: Any = None, days: int = 1, limit: int | None = None
 ) -> dict[str, DataFrame]:
     """The four record sets of a landing folder, one JSON record per line under ``<landing>/<set>``."""
     return {

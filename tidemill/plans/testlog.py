@@ -65,13 +65,13 @@ def flatten_text(df: DataFrame, raw: str = "raw") -> DataFrame:
 
 def merge_results(history: DataFrame, results: DataFrame) -> DataFrame:
     """The history with newer outcomes of known tests, and new tests added."""
-    return upsert_columns(history, results, ["result_id"], UPDATED)
+    return upsert_columns(history, results, ["result_id"], UPDATED, ["run_timestamp"])
 
 
 def log_results(results: DataFrame, root: str, table: str = LOG_TABLE) -> None:
     """Write results to the history table."""
     results.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {table.split('.')[0]}")
-    upsert_table_columns(results, table, root, ["result_id"], UPDATED)
+    upsert_table_columns(results, table, root, ["result_id"], UPDATED, ["run_timestamp"])
 
 
 def failures(results: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def report(results: DataFrame) -> int:
     return failed
 
 
-def latest(results: DataFrame, status: Any = None, limit: int = 10) -> DataFrame:
+def latest(results: DataFrame, status: Any, limit: int) -> DataFrame:
     """The most recent results, optionally of one status."""
     chosen = results if status in (None, "all") else results.filter(F.col("status") == status)
     return chosen.orderBy(F.desc("run_timestamp"), "result_id").limit(limit)

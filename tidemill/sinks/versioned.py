@@ -14,9 +14,23 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.upsert import newest, upsert, upsert_columns
+from tidemill.sinks.layers import store
 from tidemill.sinks.tables import counted
 
 
+def remove_versions(spark: SparkSession, table: str, root: str, keep: int = 1) -> int:
+    """Delete the version folders under ``root`` that the table does not point at, but for the newest ``keep`` of them.
+
+    Call it when no reader needs the old versions; returns how many were removed.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    live = table_location(spark, table).rsplit("/", 1)[-1]
+    old = [f for f in system.listStatus(path) if f.isDirectory() and f.getPath().getName() != live]
+    old.sort(key=lambda f: f.getModificationTime(), reverse=True)
+    return sum(bool(system.delete(f.getPath(), True)) for f in old[keep:])
+
+
 @contextmanager
 def _kept(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a batch that is read several times, in memory or on disk, until the load is done."""
@@ -71,23 +85,52 @@ def upsert_table(
 
 
 def upsert_table_columns(
-    batch: DataFrame, table: str, root: str, keys: Sequence[str], update: Sequence[str]
+    batch: DataFrame,
+    table: str,
+    root: str,
+    keys: Sequence[str],
+    update: Sequence[str],
+    order: Sequence[str] | None = None,
 ) -> None:
-    """Partial upsert by key: a clash changes only the ``update`` columns."""
+    """Partial upsert by key: a clash changes only the ``update`` columns. ``order`` says which row of a key is last."""
     spark = batch.sparkSession
     if spark.catalog.tableExists(table):
-        publish(upsert_columns(spark.table(table), batch, keys, update), table, root)
+        publish(upsert_columns(spark.table(table), batch, keys, update, order), table, root)
     else:
-        publish(batch, table, root)
+        publish(newest(batch, keys, order), table, root)
 
 
-def _touched(stored: DataFrame, batch: DataFrame, keys: Sequence[str], partition: str, stable: bool) -> list:
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserts replace only the partitions that they have rows for. Tables take this from the session alone."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _homes(stored: DataFrame, batch: DataFrame, keys: Sequence[str], partition: str, stable: bool) -> DataFrame:
     """Partitions that a batch changes: those of its rows, and those where its keys are stored now."""
     values = batch.select(partition)
     if not stable:
-        homes = stored.select(*keys, partition).join(batch.select(*keys).distinct(), list(keys), "left_semi")
-        values = values.unionByName(homes.select(partition))
-    return [row[0] for row in values.distinct().collect()]
+        values = values.unionByName(stored.select(*keys, partition).join(batch.select(*keys), list(keys), "left_semi").select(partition))
+    return values.distinct()
+
+
+def _in_partitions(stored: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
+    """Stored rows of the touched partitions; other partitions are pruned while the query runs."""
+    is_null, one = F.col(partition).isNull(), F.lit(1).alias("_one")
+    named = stored.join(touched.filter(~is_null), partition, "left_semi")
+    unnamed = stored.filter(is_null).select("*", one).join(touched.filter(is_null).select(one), "_one", "left_semi")
+    return named.select(*stored.columns).unionByName(unnamed.select(*stored.columns))
+
+
+def _partition_spec(partition: str, value: str | None) -> str:
+    text = "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"PARTITION (`{partition}` = {text})"
 
 
 def upsert_partitions(
@@ -101,12 +144,12 @@ def upsert_partitions(
 ) -> int:
     """Upsert into a table that is partitioned by one column, rewriting only the partitions concerned.
 
-    The other partitions are looked at for their keys alone, to find rows that the batch moves to
-    another partition; ``stable`` says that a key never moves and skips that. New folders are written
-    first, then each partition's location is switched. Partition values must not be null.
+    The new rows of those partitions are stored first and then put in by one dynamic partition overwrite,
+    with Spark's own commit. Partition values may be null or hold any character. Partitions that the batch
+    leaves empty are dropped after it; only their values reach the driver. The other partitions are looked at
+    for their keys alone, to find rows that move; ``stable`` says that a key never moves and skips that.
     """
     spark = batch.sparkSession
-    version = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
     incoming = newest(batch, keys, order)
     incoming = incoming.select(*[c for c in incoming.columns if c != partition], partition)
     if not spark.catalog.tableExists(table):
@@ -115,20 +158,17 @@ def upsert_partitions(
     stored = spark.table(table)
     seen = Observation()
     with _kept(incoming) as rows:
-        touched = _touched(stored, rows, keys, partition, stable)
-        changed = upsert(stored.filter(F.col(partition).isin(touched)), rows, keys, order=(), seen=seen)
-        changed.write.partitionBy(partition).parquet(version)
-    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
-    written = spark.read.schema(stored.schema).parquet(version).select(partition, folder.alias("folder")).distinct()
-    locations = {row[0]: row["folder"] for row in written.collect()}
-    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    for value in touched:
-        alter, spec = f"ALTER TABLE {table}", f"PARTITION (`{partition}` = '{value}')"
-        if value not in locations:
-            spark.sql(f"{alter} DROP IF EXISTS {spec}")
-        elif f"{partition}={value}" in known:
-            spark.sql(f"{alter} {spec} SET LOCATION '{locations[value]}'")
-        else:
-            spark.sql(f"{alter} ADD {spec} LOCATION '{locations[value]}'")
+        touched = store(_homes(stored, rows, keys, partition, stable), "touched")
+        changed = upsert(_in_partitions(stored, touched, partition), rows, keys, order=(), seen=seen)
+        changed = store(changed.select(*stored.columns), "upsert")
+    counted_rows = seen.get["rows"]
+    with _dynamic_overwrite(spark):
+        changed.write.mode("overwrite").insertInto(table)
+    left = changed.select(F.col(partition).alias("_left")).distinct()
+    emptied = touched.join(left, F.col(partition).eqNullSafe(F.col("_left")), "left_anti")
+    known = spark.table(table).select(F.col(partition).alias("_known")).distinct()
+    emptied = emptied.join(known, F.col(partition).eqNullSafe(F.col("_known")), "left_semi")
+    for (value,) in emptied.select(F.col(partition).cast("string")).collect():
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_partition_spec(partition, value)}")
     spark.catalog.refreshTable(table)
-    return seen.get["rows"]
+    return counted_rows

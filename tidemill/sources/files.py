@@ -40,16 +40,25 @@ def read_csv(
     null_tokens: Sequence[str] = NULL_TOKENS,
     schema: str | None = None,
     ingest_order: bool = False,
+    multiline: bool = True,
+    misfits: str = "fail",
     **options: Any,
 ) -> DataFrame:
     """CSV with a header row; extra options go to Spark's reader.
 
+    Quoted text may hold line ends. ``multiline=False`` reads big files in splits instead; a record that is cut by a
+    line end, or has another number of fields, then fails the job. A text that does not fit its column's type (from
+    ``schema`` or a sample) fails the job as well; with ``misfits="null"`` it becomes null.
+
     All fields are read as text, missing-value tokens become null, and then types are settled by
     one aggregate over the file (or a sample). Columns in ``text_columns``, such as phone numbers
     and zip codes, stay text; so does any column with a number that starts with a zero. With
     ``schema`` no file is read to plan the query. ``ingest_order`` adds the file position (``_seq``).
     """
-    reader = spark.read.options(header=True, quote='"', escape='"').options(**options)
+    if misfits not in ("fail", "null"):
+        raise ValueError("misfits must be fail or null")
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=multiline)
+    reader = reader.options(**({} if multiline else {"mode": "FAILFAST"})).options(**options)
     if schema is not None:
         fields = T.StructType.fromDDL(schema)
         types = {f.name: f.dataType for f in fields}
@@ -65,7 +74,16 @@ def read_csv(
             return cleaned
         sample = cleaned.select(*names) if sample_ratio is None else cleaned.select(*names).sample(sample_ratio, seed=1)
         types = infer_types(sample, text_columns)
-    return cleaned.select(*[F.col(c).try_cast(types[c]).alias(c) for c in names], *order)
+    return cleaned.select(*[_typed(c, types[c], misfits).alias(c) for c in names], *order)
+
+
+def _typed(name: str, dtype: Any, misfits: str) -> Column:
+    text = F.col(name)
+    value = text.try_cast(dtype)
+    if misfits == "null" or dtype == "string" or isinstance(dtype, T.StringType):
+        return value
+    bad = F.raise_error(F.concat(F.lit(f"column {name} does not hold: "), text))
+    return F.when(text.isNotNull() & value.isNull(), bad).otherwise(value)
 
 
 def infer_types(df: DataFrame, text_columns: Sequence[str] = ()) -> dict[str, str]:
@@ -138,8 +156,8 @@ def select_files(
     return _load(reader, fmt, f"{root.rstrip('/')}/{prefix}*" if prefix else root)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan that Spark cannot split over all cores, such as one file with one row group.
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that Spark cannot split over all cores, such as one file with one row group, without regard to keys.
 
     A scan with at least as many partitions as the session's parallelism is returned as it is, so
     big inputs are never shuffled for this.
@@ -147,7 +165,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= parallelism:
         return df
-    return df.repartition(parallelism, *keys)
+    return df.repartition(parallelism)
 
 
 def with_ingest_order(df: DataFrame, name: str = SEQ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.errors import FormatError
-from tidemill.functions.dates import instant, timestamp_column, to_instant
+from tidemill.functions.dates import instant, parse_timestamp, timestamp_column, to_instant
 from tidemill.operators.rows import SEQ, add_if_absent
 from tidemill.sources.files import read_json_documents, read_json_lines, with_ingest_order
 
@@ -28,8 +28,8 @@ def read_envelope(
     read = read_json_lines if lines else read_json_documents
     documents = read(spark, path, f"`{key}` array<struct<{schema}>>" if schema else None)
     if key not in documents.columns or not isinstance(documents.schema[key].dataType, T.ArrayType):
-        raise FormatError(f"Invalid {key.rstrip('s')} data format")
-    lacking = F.raise_error(F.lit(f"Invalid {key.rstrip('s')} data format"))
+        raise FormatError(f"no array {key!r} in the response pages")
+    lacking = F.raise_error(F.lit(f"no array {key!r} in a response page"))
     items = F.coalesce(F.col(key), lacking.cast(documents.schema[key].dataType))
     rows = with_ingest_order(documents, "_page").select("_page", F.posexplode(items).alias("_pos", "_row"))
     return rows.select("_row.*", F.struct("_page", "_pos").alias(SEQ))
@@ -54,27 +54,26 @@ def time_range(
     column: str,
     as_of: dt.datetime | str | None = None,
     days: int = 1,
-    limit: int | None = 10000,
+    limit: int | None = None,
     tie_breaker: str | None = None,
 ) -> DataFrame:
-    """Rows within the last ``days`` days up to ``as_of`` (both ends included), newest first, capped.
+    """Rows within the last ``days`` days up to ``as_of`` (both ends included); with ``limit``, only the newest of them.
 
-    The column may hold timestamps, epoch milliseconds or ISO text in UTC; the bound is brought to its type
-    so that the comparison can be pushed to the source.
+    The column may hold timestamps, epoch milliseconds or date texts. Bounds are brought to the type of numbers and
+    timestamps, so that the comparison can be pushed to the source; texts are compared as points in time.
     """
     end = instant(as_of)
     start = end - F.make_dt_interval(F.lit(days))
     dtype = df.schema[column].dataType
     if isinstance(dtype, (T.LongType, T.IntegerType)):
         low, high = F.unix_millis(to_instant(start)), F.unix_millis(to_instant(end))
-    elif isinstance(dtype, T.StringType):
-        low, high = (F.date_format(b, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") for b in (start, end))
     else:
         low, high = start, end
-    rows = df.filter(F.col(column).between(low, high))
+    moment = parse_timestamp(F.col(column)) if isinstance(dtype, T.StringType) else F.col(column)
+    rows = df.filter(moment.between(low, high))
     if limit is None:
         return rows
-    order = [F.desc(column)] + ([F.desc(tie_breaker)] if tie_breaker else [])
+    order = [moment.desc()] + ([F.desc(tie_breaker)] if tie_breaker else [])
     return rows.orderBy(*order).limit(limit)
 
 
