@@ -62,14 +62,10 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     """
 
     def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, counts, held, seen = [], [], 0, set()
-
-        def fold() -> tuple[np.ndarray, np.ndarray]:
-            grams, where = np.unique(np.concatenate(kept), return_inverse=True)
-            return grams, np.bincount(where, weights=np.concatenate(counts)).astype(np.int64)
+        kept, held, seen = [], 0, set()
 
         def out() -> pa.RecordBatch:
-            grams, sums = fold()
+            grams, sums = np.unique(np.concatenate(kept), return_counts=True)
             again = sums > 1
             return pa.RecordBatch.from_arrays([pa.array(grams[again].view(np.int64)), pa.array(sums[again])], names=["gram", "n"])
 
@@ -79,11 +75,10 @@ def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
                 if len(grams) and mark not in seen:
                     seen.add(mark)
                     kept.append(grams)
-                    counts.append(np.ones(len(grams), np.int32))
                     held += len(grams)
-                if held > 1 << 22:
+                if held > 1 << 21:
                     yield out()
-                    kept, counts, held, seen = [], [], 0, set()
+                    kept, held, seen = [], 0, set()
         if kept:
             yield out()
 
@@ -272,6 +267,7 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "tex
     component = F.when(F.col("n_shingles") > 0, F.col("component_id"))
     kept = linked.filter(F.col("n_shingles") > 0).groupBy(component.alias("c")).agg(F.min(F.struct("doc_id", "key")).alias("first"))
     kept = kept.select(F.col("first.key").alias("_key")).unionByName(linked.filter(F.col("n_shingles") == 0).select(F.col("key").alias("_key"))).distinct()
-    key = F.xxhash64(F.col(text), F.col("doc_id").cast("long"))
-    marked = docs.withColumn("_key", key)
-    return marked.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    plain = docs.toDF(*[f"_p{i}" for i in range(len(docs.columns))])
+    body, number = (plain[f"_p{docs.columns.index(c)}"] for c in (text, "doc_id"))
+    marked = plain.withColumn("_key", F.xxhash64(body, number.cast("long")))
+    return marked.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key").toDF(*docs.columns)

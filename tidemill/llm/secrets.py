@@ -140,13 +140,16 @@ def as_text(spans: Column) -> Column:
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """The documents with every secret replaced by ``mark``; ``n_chars``, where there is one, follows the new text."""
-    names = docs.columns
-    found = find_secrets(docs, text)
+    given = docs.columns
+    names = [f"_p{i}" for i in range(len(given))]
+    body = names[given.index(text)]
+    docs = docs.toDF(*names)
+    found = find_secrets(docs, body)
     hit = F.size("spans") > 0
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, spans = batch.column(text).to_pylist(), batch.column("spans").to_pylist()
+            texts, spans = batch.column(body).to_pylist(), batch.column("spans").to_pylist()
             for i, some in enumerate(spans):
                 out, at = [], 0
                 for s in some or ():
@@ -155,11 +158,11 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataF
                     at = max(at, s["end"])
                 if some:
                     texts[i] = "".join([*out, texts[i][at:]])
-            columns = [pa.array(texts, batch.schema.field(c).type) if c == text else batch.column(c) for c in names]
+            columns = [pa.array(texts, batch.schema.field(c).type) if c == body else batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    changed = found.filter(hit).select(*names, "spans")
-    changed = changed.mapInArrow(cut, docs.schema)
-    if "n_chars" in names:
-        changed = changed.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return found.filter(~hit).select(names).unionByName(changed)
+    changed = found.filter(hit).select(*names, "spans").mapInArrow(cut, docs.schema)
+    if "n_chars" in given:
+        count = names[given.index("n_chars")]
+        changed = changed.withColumn(count, F.length(body).cast(docs.schema[count].dataType))
+    return found.filter(~hit).select(names).unionByName(changed).toDF(*given)
