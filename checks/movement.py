@@ -46,7 +46,7 @@ def csv_export(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh(spark, "export")
     table(spark, folder, "lineitem").createOrReplaceTempView("exported_lines")
     table_sinks.export_query_to_csv(
-        spark, "SELECT l_orderkey, l_quantity, l_returnflag FROM exported_lines WHERE l_quantity > 25", path
+        spark, "SELECT l_orderkey, l_quantity, l_returnflag FROM exported_lines", path
     )
     return files.read_csv(spark, path)
 
@@ -63,7 +63,7 @@ def json_envelope_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_lines(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh(spark, "lines")
-    table(spark, folder, "documents").select(F.regexp_replace("text", r"[\r\n]", " ").alias("value")).write.text(path)
+    table(spark, folder, "documents").select(F.col("text").alias("value")).write.text(path)
     lines = files.read_lines(spark, path)
     return lines.groupBy(F.md5("value").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -105,6 +105,15 @@ CHANGES = """
            l_shipdate AS _shipped
     FROM {lineitem}
 """
+PLACES = """
+    SELECT c_custkey AS id, c_name AS name, CASE c_nationkey % 6 WHEN 0 THEN 'a b' WHEN 1 THEN 'b:c' WHEN 2 THEN 'x/y'
+        WHEN 3 THEN '50%' WHEN 4 THEN 'O' || chr(39) || 'Neil' END AS place
+    FROM {customer}
+"""
+MOVES = """
+    SELECT c_custkey AS id, c_phone_or_name AS name, CASE c_nationkey % 3 WHEN 0 THEN 'b:c' WHEN 1 THEN c_mktsegment END AS place
+    FROM (SELECT c_custkey, lower(c_name) AS c_phone_or_name, c_nationkey, c_mktsegment FROM {customer}) AS c
+"""
 BATCH_ORDER = ("_shipped", "_line", "_part")
 
 
@@ -128,6 +137,24 @@ def upsert_partitioned(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def csv_misfits(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices of the catalogue feed read as numbers; texts that are none become null on request."""
+    path = fresh(spark, "misfits")
+    feed(spark, folder, "raw_products").select("product_id", F.regexp_replace("product_name", "^\\s+|\\s+$", "|").alias("product_name"), "price").write.csv(
+        path, header=True, quote='"', escape='"', quoteAll=True
+    )
+    return files.read_csv(spark, path, schema="product_id bigint, product_name string, price double", misfits="null")
+
+
+def partition_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers stored by values with blanks, colons, slashes, quotes, percent signs and nulls; then all of them move twice."""
+    name, root = f"{scratch_schema(spark)}.customers", fresh(spark, "values")
+    for sql in (PLACES, MOVES, PLACES):
+        upsert_partitions(query(spark, folder, sql), name, root, ["id"], "place", order=())
+    upsert_partitions(query(spark, folder, MOVES).filter("id % 2 = 0"), name, root, ["id"], "place", order=())
+    return spark.table(name)
+
+
 def table_append(spark: SparkSession, folder: str) -> DataFrame:
     name = f"{scratch_schema(spark)}.customers"
     table_sinks.save_table(table(spark, folder, "customer"), name, "replace")
@@ -254,6 +281,8 @@ QUERIES = {
     "upsert_by_id": upsert_by_id,
     "upsert_stored": upsert_stored,
     "upsert_partitioned": upsert_partitioned,
+    "csv_misfits": csv_misfits,
+    "partition_values": partition_values,
     "table_append": table_append,
     "routed_table": routed_table,
     "routed_file": routed_file,
@@ -284,13 +313,14 @@ ORACLES = {
            FROM raw_stores""",
         raw_stores=FEEDS["raw_stores"],
     ),
-    "csv_export": "SELECT l_orderkey, l_quantity, l_returnflag FROM lineitem WHERE l_quantity > 25",
+    "csv_export": "SELECT l_orderkey, l_quantity, l_returnflag FROM lineitem",
     "json_envelope_scan": """
         SELECT unnest([o_orderkey, -o_orderkey]) AS o_orderkey, o_custkey, o_orderdate::DATE::VARCHAR AS order_date
         FROM orders WHERE o_orderdate >= '1998-01-01'
     """,
     "text_lines": r"""
-        SELECT md5(regexp_replace(text, '[\r\n]', ' ', 'g')) AS digest, count(*) AS n FROM documents GROUP BY 1
+        SELECT md5(line) AS digest, count(*) AS n
+        FROM (SELECT unnest(regexp_split_to_array(text, '\r\n|\r|\n')) AS line FROM documents WHERE text IS NOT NULL) GROUP BY 1
     """,
     "glob_scan": "SELECT o_orderkey, o_custkey FROM orders",
     "source_by_kind": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
@@ -308,6 +338,16 @@ ORACLES = {
         statuses=STATUSES,
         changes=CHANGES,
     ),
+    "csv_misfits": oracle(
+        """
+        SELECT product_id, regexp_replace(product_name, '^\\s+|\\s+$', '|', 'g') AS product_name, TRY_CAST(price AS DOUBLE) AS price
+        FROM raw_products
+        """,
+        raw_products=FEEDS["raw_products"],
+    ),
+    "partition_values": oracle(
+        "SELECT * FROM places WHERE id % 2 <> 0 UNION ALL SELECT * FROM moves WHERE id % 2 = 0", places=PLACES, moves=MOVES
+    ),
     "table_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_acctbal < 0",
     "routed_table": "SELECT * FROM orders",
     "routed_file": "SELECT s_suppkey, s_name, s_nationkey::BIGINT AS s_nationkey, s_acctbal FROM supplier",

@@ -206,3 +206,16 @@ def test_report_files_and_history(spark, folder):
     assert [(r.status, r.test_name) for r in stored] == [("pass", "unique_id"), ("pass", "x")]
     assert testlog.latest(spark.table("monitoring_t.results"), "pass", 1).count() == 1
     assert testlog.failures(results).count() == 1
+
+
+def test_numbers_of_another_kind_fail_and_are_never_lost(rows):
+    from tidemill.plans import glucose
+
+    good = '{"_id":"a","date":99999999999999999,"sgv":120,"noise":1.0,"rssi":100.0,"filtered":"9"}'
+    row = glucose.entries(rows([(good,)], "raw string")).first()
+    assert (row.sgv, row.noise, row.rssi, row.filtered, row.date) == (120.0, 1, 100, 9.0, None)
+    for bad in ('"sgv":"120"', '"sgv":"LOW"', '"noise":1.5', '"rssi":{}', '"filtered":"x"'):
+        with pytest.raises(Exception, match="is no (double|int)"):
+            glucose.entries(rows([('{"_id":"a",' + bad + "}",)], "raw string")).collect()
+    pump = glucose.device_status(rows([('{"_id":"a","pump":{"reservoir":"12.5"}}',)], "raw string")).first().pump
+    assert pump.reservoir == 12.5

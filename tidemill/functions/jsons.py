@@ -45,6 +45,21 @@ def strict_number(field: Column, dtype: str, name: str) -> Column:
     )
 
 
+def checked_number(field: Column, dtype: str, name: str, text: bool = True) -> Column:
+    """The number of a JSON value; null when absent or null. Anything that is no such number fails the job.
+
+    A whole number written with a fraction fits an integer type, and so does a number in a text unless ``text`` is false.
+    """
+    shown = F.try_variant_get(field, "$", "string")
+    number = shown.try_cast("double")
+    value = number.cast("long").cast(dtype) if dtype == "int" else number.cast(dtype)
+    fits = number.isNotNull() & (number.between(-(2**31), 2**31 - 1) & (F.floor(number) == number) if dtype == "int" else F.lit(True))
+    if not text:
+        fits = fits & (F.schema_of_variant(field) != "STRING")
+    bad = F.raise_error(F.concat(F.lit(f"{name} is no {dtype}: "), F.coalesce(shown, F.lit("a nested value"))))
+    return F.when(field.isNull() | F.is_variant_null(field), F.lit(None)).when(fits, value).otherwise(bad).cast(dtype)
+
+
 def missing_keys(fields: Mapping[str, Column]) -> Column:
     """The names of required keys that are absent, as text; null when there are none."""
     names = F.concat_ws(", ", *[F.when(~present(c), F.lit(n)) for n, c in fields.items()])

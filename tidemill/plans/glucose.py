@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.dates import parse_variant_timestamp
-from tidemill.functions.jsons import parse_records, row_as_json, scalar_or_member, strict_number, without_keys
+from tidemill.functions.jsons import (
+    checked_number, parse_records, row_as_json, scalar_or_member, strict_number, without_keys,
+)
 from tidemill.functions.numbers import mmol_per_litre
 from tidemill.sinks.tables import counted
 from tidemill.sinks.versioned import publish, upsert_table
@@ -18,8 +20,8 @@ from tidemill.sources.files import read_lines
 from tidemill.sources.landed import time_range
 
 ENTRY = (
-    "_id string, device string, date variant, dateString string, sgv double, direction string, type string, "
-    "filtered double, unfiltered double, rssi int, noise int, sysTime string, utcOffset int"
+    "_id string, device string, date variant, dateString string, sgv variant, direction string, type string, "
+    "filtered variant, unfiltered variant, rssi variant, noise variant, sysTime string, utcOffset variant"
 )
 TREATMENT = (
     "_id string, eventType variant, created_at variant, enteredBy string, notes string, insulin variant, "
@@ -35,7 +37,7 @@ PROFILE = (
 )
 DEVICE_STATUS = (
     "_id string, created_at variant, device string, "
-    "pump struct<clock:string, reservoir:double, battery:variant, status:variant, iob:variant>, "
+    "pump struct<clock:string, reservoir:variant, battery:variant, status:variant, iob:variant>, "
     "uploader struct<battery:variant, name:string>, "
     "loop struct<enacted:variant, predicted:variant, iob:variant, cob:variant>"
 )
@@ -64,22 +66,21 @@ COMMON_FIELDS = ["_id", "id", "type", "created_at", "enteredBy", "notes"]
 
 
 def entries(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Sensor readings, with the value also in mmol/L."""
+    """Sensor readings, with the value also in mmol/L. A value of another kind than its field fails the job."""
+    sgv = checked_number(F.col("sgv"), "double", "sgv", text=False)
     return parse_records(df, raw, ENTRY).select(
         F.col("_id").alias("id"),
         "device",
         parse_variant_timestamp(F.col("date")).alias("date"),
         "dateString",
-        "sgv",
-        mmol_per_litre(F.col("sgv")).alias("sgv_mmol"),
+        sgv.alias("sgv"),
+        mmol_per_litre(sgv).alias("sgv_mmol"),
         "direction",
         "type",
-        "filtered",
-        "unfiltered",
-        "rssi",
-        "noise",
+        *[checked_number(F.col(c), "double", c).alias(c) for c in ("filtered", "unfiltered")],
+        *[checked_number(F.col(c), "int", c).alias(c) for c in ("rssi", "noise")],
         F.col("sysTime").alias("sys_time"),
-        F.col("utcOffset").alias("utc_offset"),
+        checked_number(F.col("utcOffset"), "int", "utcOffset").alias("utc_offset"),
     )
 
 
@@ -134,7 +135,10 @@ def device_status(df: DataFrame, raw: str = "raw") -> DataFrame:
         F.col("_id").alias("id"),
         parse_variant_timestamp(F.col("created_at")).alias("created_at"),
         "device",
-        F.when(pump.isNotNull(), pump.withField("iob", insulin_on_board)).alias("pump"),
+        F.when(
+            pump.isNotNull(),
+            pump.withField("reservoir", checked_number(pump["reservoir"], "double", "reservoir")).withField("iob", insulin_on_board),
+        ).alias("pump"),
         uploader.alias("uploader"),
         F.when(
             loop.isNotNull(),

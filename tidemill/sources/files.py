@@ -80,6 +80,8 @@ def read_csv(
 def _typed(name: str, dtype: Any, misfits: str) -> Column:
     text = F.col(name)
     value = text.try_cast(dtype)
+    if dtype in ("double", "float") or isinstance(dtype, (T.DoubleType, T.FloatType)):
+        value = F.when(looks_numeric(text), value)  # a cast alone takes "12d"
     if misfits == "null" or dtype == "string" or isinstance(dtype, T.StringType):
         return value
     bad = F.raise_error(F.concat(F.lit(f"column {name} does not hold: "), text))
