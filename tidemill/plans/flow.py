@@ -132,7 +132,7 @@ def flow_from_config(spark: SparkSession, config: Mapping[str, Any]) -> Flow:
     """
     source = config.get("extractor")
     if not source:
-        raise ConfigError("No extractor defined in the flow")
+        raise ConfigError("a flow starts with an extractor, and none is given")
     steps = []
     for entry in config.get("transformers", ()):
         build, settings = _part(entry, "transformer", TRANSFORMERS)

@@ -51,7 +51,7 @@ def read_source(spark: SparkSession, kind: str, **config: Any) -> DataFrame:
     needed = SOURCE_KINDS[kind]
     target = config.pop(needed, None)
     if not target:
-        raise ConfigError(f"{needed} is required for {kind} ingestion")
+        raise ConfigError(f"a {kind} source needs {needed}")
     if kind == "csv":
         return files.read_csv(spark, target, **config)
     if kind == "json":
