@@ -124,27 +124,29 @@ def _key(text: str) -> Column:
 
 
 def _sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """A stored row per document: ``doc_id``, ``key`` (of its row), ``n`` (set size), ``node``, ``prefix``, ``parity``, ``wide``."""
+    """A stored row per document: ``doc_id``, ``key`` (of its row), ``n`` (set size), ``node``, ``prefix`` and its ``mark``, ``parity``, ``wide``."""
     frequent, ranks = _frequent(docs, size)
     shared = docs.sparkSession.sparkContext.broadcast((frequent, ranks))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes, prefixes, parities, wide = [], [], [], [], []
+            sizes, nodes, prefixes, marks, parities, wide = [], [], [], [], [], []
             for grams in gram_sets(batch.column("text"), size):
                 sizes.append(len(grams))
                 nodes.append(blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
-                prefixes.append(_prefix(grams, percent, *shared.value).view(np.int64) if len(grams) else [])
+                prefix = _prefix(grams, percent, *shared.value).view(np.int64) if len(grams) else grams.view(np.int64)
+                prefixes.append(prefix)
+                marks.append(blake2b(prefix.tobytes(), digest_size=16).digest())
                 parities.append(_parities(grams))
                 wide.append(_wide_parities(grams))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()),
-                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(parities, pa.list_(pa.int64())), pa.array(wide, pa.binary())],
-                names=["doc_id", "key", "n", "node", "prefix", "parity", "wide"],
+                 pa.array(prefixes, pa.list_(pa.int64())), pa.array(marks, pa.binary()), pa.array(parities, pa.list_(pa.int64())), pa.array(wide, pa.binary())],
+                names=["doc_id", "key", "n", "node", "prefix", "mark", "parity", "wide"],
             )
 
     rows = docs.select("doc_id", "text", _key("text").alias("key"))
-    schema = "doc_id long, key long, n long, node binary, prefix array<long>, parity array<long>, wide binary"
+    schema = "doc_id long, key long, n long, node binary, prefix array<long>, mark binary, parity array<long>, wide binary"
     return store(rows.mapInArrow(sketch, schema), "sketches")
 
 
@@ -207,13 +209,15 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = _sketches(docs, size, percent)
-    first = F.min(F.struct("doc_id", "key", "n", "prefix", "parity", "wide")).alias("first")
+    first = F.min(F.struct("doc_id", "key", "n", "mark", "parity", "wide")).alias("first")
     nodes = sketches.filter(F.col("n") > 0).groupBy("node").agg(first).select("node", "first.*")
-    group = Window.partitionBy("n", "prefix")
+    group = Window.partitionBy("n", "mark")
     nodes = store(nodes.withColumn("group", F.min("node").over(group)), "nodes")
 
     # The index, without lists of one group whose size fits no other's.
-    prefixes = nodes.filter(F.col("node") == F.col("group")).select("group", "n", F.explode("prefix").alias("gram"))
+    groups = nodes.filter(F.col("node") == F.col("group")).select("node", "n")
+    once = sketches.filter(F.col("n") > 0).select("node", "prefix").dropDuplicates(["node"])  # equal sets have one prefix
+    prefixes = once.join(groups, "node").select(F.col("node").alias("group"), "n", F.explode("prefix").alias("gram"))
     listed = Window.partitionBy("gram").orderBy("n", "group")
     near = [F.lag(F.struct("group", "n"), k).over(listed).alias(f"near{k}") for k in (1, 2, 3)]
     index = prefixes.select("*", *near, F.lead("n").over(listed).alias("next_n"))
@@ -238,7 +242,7 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str
     member = store(member, "members")
     alone = F.count("*").over(Window.partitionBy("group")) == 1
     own = member.withColumn("alone", alone).filter(~F.col("alone")).select(F.xxhash64("group").alias("gram"), "node", "n", "parity", "component")
-    lists = index.select("gram", "group").join(member.drop("prefix"), "group").select("gram", "node", "n", "parity", "component").unionByName(own)
+    lists = index.select("gram", "group").join(member, "group").select("gram", "node", "n", "parity", "component").unionByName(own)
     mixed = lists.groupBy("gram").agg((F.min("component") != F.max("component")).alias("mixed")).filter("mixed").select("gram")
     lists = store(lists.join(mixed, "gram", "left_semi"), "lists")
     x, y = lists.alias("x"), lists.alias("y")
