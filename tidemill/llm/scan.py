@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _WHITE = np.zeros(256, dtype=bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 #: Bytes of A-Z as a-z, others as they are.
