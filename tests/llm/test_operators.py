@@ -280,6 +280,25 @@ def test_weak_parts_count_only_together(spark):
     assert "Zk9" not in clean[1] and clean[6] == "é [SECRET], [SECRET]" and clean[5] == rows[4][1]
 
 
+def test_rows_are_skipped_only_without_parts(spark):
+    loose = "Xk29dLqP7vR3tYwZ8bNc4mHj"
+    rows = [
+        (1, f"endpoint: db.example.com {loose}"), (2, f"https://api.example.com/v1 {loose}"), (3, f"see {loose}"), (4, f"Server='db1' {loose}"),
+        (5, f"hostname = a.b\nuser: bob {loose}"),
+    ]
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
+    kinds = {r.doc_id: [secrets.KINDS[s.kind] for s in r.spans] for r in found.collect()}
+    assert kinds == {1: ["value"], 2: ["value"], 3: [], 4: ["value"], 5: ["endpoint", "ident", "value"]}
+    assert secrets.redact(spark.createDataFrame(rows[:1], "doc_id long, text string")).first().text == "endpoint: db.example.com [SECRET]"
+    rng = np.random.default_rng(7)
+    bits = [loose, loose[:19], "client_id", "pass", "hostname", "SERVER", "ſerver", "user", "token", "jdbc:x", "https", "://", ": ", "=", " ", "'", "\n", "é", "AKIA", "ASIAABCDEFGHIJKL", "0123456789abcdef" * 2, "abc.d"]
+    texts = ["".join(rng.choice(bits, 6)) for _ in range(4000)]
+    for text, (base, weak) in zip(texts, secrets.scan_texts(pa.array(texts))):
+        assert base == sorted(secrets._base(text, True, True), key=lambda x: (x[1], x[0])) and weak == secrets._weak(text, base)
+        spans = [(a, b) for _, a, b in weak]
+        assert all(b <= c or a >= d for k, (a, b) in enumerate(spans) for c, d in [*spans[:k], *((c, d) for _, c, d in base)])
+
+
 def brute_components(given, size, percent):
     sets = {}
     for doc_id, text in given:

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,10 +34,14 @@ _PASS = re.compile(r"(?ai:\b(?:pass|pwd|passphrase|credential|auth_?key|access_?
 _LOOSE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 _POINT = re.compile(r"(?ai:\b(?:https?|ssh|ftp|jdbc:[a-z0-9]+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]+|\b(?:host(?:name)?|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[a-z0-9.-]+(?::[0-9]+)?)")
 
-#: Rows that can hold anything at all, by a fast search that never misses a match.
+#: Rows that can hold anything at all, by a fast search that never misses a match: the start of each pattern above,
+#: without its bounds and lengths.
 _MAYBE_ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
 _MAYBE_HEX = r"[0-9a-f]{32}"
-_MAYBE_WEAK = r"(?i)(access_?key|client_?id|account_?id|user|login|key_?id|pass|pwd|credential|auth_?key|private_?key|signature)[a-z_]*[\"']?\x20*[:=]|ASIA|AIDA|AROA|AGPA|AKIA|password|secret|token|api_?key"
+_MAYBE_WEAK = (
+    r"(?i)(access_?key_?id|client_?id|account_?id|user_?name|user|login|key_?id|pass|pwd|passphrase|credential|auth_?key|access_?key|private_?key|signature"
+    r"|host|hostname|endpoint|server)[\"']?\x20*[:=]|ASIA|AIDA|AROA|AGPA|://|[a-z0-9+/_=-]{20}"
+)
 
 
 def _base(text: str, assign: bool, digits: bool) -> list[tuple[int, int, int]]:
@@ -56,16 +62,18 @@ def _random_looking(value: str) -> bool:
 
 
 def _weak(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Weak parts that no base finding overlaps."""
+    """Weak parts that no base finding overlaps. Base findings are ordered by start."""
     found = [(3, *m.span()) for m in _IDENT.finditer(text)]
     found += [(4, *m.span()) for m in _PASS.finditer(text)]
     found += [(4, *m.span()) for m in _LOOSE.finditer(text) if _random_looking(m[0])]
     found += [(5, *m.span()) for m in _POINT.finditer(text)]
-    taken, out = sorted((a, b) for _, a, b in base), []
+    starts, reached = [a for _, a, _ in base], list(accumulate((b for _, _, b in base), max))
+    out, last = [], 0
     for kind, a, b in sorted(found, key=lambda x: (x[1], -x[2], x[0])):
-        if all(b <= c or a >= d for c, d in taken):
+        before = bisect_left(starts, b)
+        if a >= last and (not before or reached[before - 1] <= a):
             out.append((kind, a, b))
-            taken.append((a, b))
+            last = b
     return out
 
 
