@@ -299,6 +299,32 @@ def test_rows_are_skipped_only_without_parts(spark):
         assert all(b <= c or a >= d for k, (a, b) in enumerate(spans) for c, d in [*spans[:k], *((c, d) for _, c, d in base)])
 
 
+def test_long_parts_reach_their_neighbours(spark):
+    jwt = "eyJh" + "bGc1Oi9KaXj" * 45
+    long = f"access_token: {jwt}"
+    rows = [
+        (1, f"{long}\nclient_id=my-app"), (2, f"client_id=my-app\n{long}"), (3, f"postgres://u:p@db/{'x' * 900}?a\npwd=Zk9fQ2xLm8Rt"),
+        (4, f"{long}{' ' * 400}client_id=my-app"), (5, f"{long}{' ' * 401}client_id=my-app"), (6, f"client_id=my-app{' ' * 401}{long}"),
+    ]
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))
+    kinds = {r.doc_id: [secrets.KINDS[s.kind] for s in r.spans] for r in found.collect()}
+    assert kinds == {1: ["assign", "ident"], 2: ["ident", "assign"], 3: ["value"], 4: ["assign", "ident"], 5: ["assign"], 6: ["assign"]}
+
+    rng = np.random.default_rng(9)
+    bits = ["client_id=my-app", "pwd=Zk9fQ2xLm8Rt", "host: db.x", "token=abcdefgh1", "https://a.b/" + "y" * 150, "pwd=" + "z1Y" * 60, "login: " + "w" * 120]
+    texts = ["".join(rng.choice(bits) + " " * int(rng.integers(1, 90)) for _ in range(rng.integers(2, 9))) for _ in range(200)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.find_secrets(frame, scope=60).collect()}
+    for i, (base, weak) in enumerate(secrets.scan_texts(pa.array(texts))):
+        both = [(k, a, b, 0 if k in (1, 3) else 2 if k == 5 else 1) for k, a, b in [*base, *weak]]
+        expected = [s[:3] for s in both if s[0] < 3]
+        for kind, a, b, role in both:
+            met = {r for _, c, d, r in both if r != role and c - b <= 60 and a - d <= 60}
+            if kind == 3 and 1 in met or kind == 4 and met or kind == 5 and {0, 1} <= met:
+                expected.append((kind, a, b))
+        assert got[i] == sorted(expected, key=lambda s: (s[1], s[0]))
+
+
 def brute_components(given, size, percent):
     sets = {}
     for doc_id, text in given:

@@ -1,8 +1,8 @@
 """Secret scans: plain patterns, and weak candidates that count only where complementary parts come together.
 
 Weak parts are access identifiers (``ident``), values that look like a secret (``value``) and endpoints (``endpoint``).
-They are cut into buckets of the scope's length, summed up for each bucket and joined by interval: a part reaches all
-others within ``SCOPE`` characters of its start. An identifier is reported with a secret in reach (base findings
+Each is put in all buckets of the scope's length that it covers, summed up for each bucket and joined by interval: a part
+reaches all others that begin or end at most ``SCOPE`` characters from it, however long they are. An identifier is reported with a secret in reach (base findings
 count as well), a value with an identifier or an endpoint, an endpoint with both.
 """
 
@@ -97,14 +97,16 @@ _ARROW_SPAN = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), (
 
 def _linked(scanned: DataFrame, scope: int) -> DataFrame:
     """``row`` and ``linked``, the weak spans of a text that have their complement in reach."""
-    both = scanned.select("row", F.inline(F.concat("base", "weak")))
-    role = F.when(F.col("kind").isin(1, 3), 0).when(F.col("kind") == 5, 2).otherwise(1)
-    parts = both.withColumn("role", role).withColumn("bucket", F.floor(F.col("start") / scope))
-    parts = parts.join(parts.filter(F.col("kind") > 2).select("row").distinct(), "row", "left_semi")
-    ends = parts.groupBy("row", "bucket", "role").agg(F.min("start").alias("least"), F.max("start").alias("most"))
-    weak = parts.filter(F.col("kind") > 2).withColumn("near", F.explode(F.array(F.col("bucket") - 1, F.col("bucket"), F.col("bucket") + 1)))
+    role = lambda kind: F.when(kind.isin(1, 3), 0).when(kind == 5, 2).otherwise(1)
+    both = F.concat("base", "weak")
+    several = F.size(F.array_distinct(F.transform(both, lambda s: role(s["kind"])))) > 1
+    parts = scanned.filter((F.size("weak") > 0) & several).select("row", F.inline(both)).withColumn("role", role(F.col("kind")))
+    covered = parts.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor(F.col("end") / scope))))
+    ends = covered.groupBy("row", "bucket", "role").agg(F.min("start").alias("least"), F.max("end").alias("most"))
+    around = F.sequence(F.floor(F.col("start") / scope) - 1, F.floor(F.col("end") / scope) + 1)
+    weak = parts.filter(F.col("kind") > 2).withColumn("near", F.explode(around))
     p, e = weak.alias("p"), ends.alias("e")
-    reach = (F.col("e.most") >= F.col("p.start") - scope) & (F.col("e.least") <= F.col("p.start") + scope)
+    reach = (F.col("e.most") >= F.col("p.start") - scope) & (F.col("e.least") <= F.col("p.end") + scope)
     met = p.join(e, (F.col("p.row") == F.col("e.row")) & (F.col("p.near") == F.col("e.bucket")) & (F.col("p.role") != F.col("e.role")) & reach)
     met = met.groupBy("p.row", "p.kind", "p.start", "p.end").agg(*[F.max((F.col("e.role") == k).cast("int")).alias(f"r{k}") for k in range(3)])
     ident, value, point = F.col("r0") == 1, F.col("r1") == 1, F.col("r2") == 1
