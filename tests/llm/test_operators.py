@@ -165,6 +165,22 @@ def test_kneser_ney_sums_to_one_and_bands_reject(spark):
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in clean}
 
 
+def test_bands_follow_the_spread_of_each_language(spark, docs):
+    same = "one two three four five six seven eight nine ten " + " ".join(f"w{i}" for i in range(60))
+    copies = spark.createDataFrame([(-k, same, "same") for k in range(1, 4)], "doc_id long, text string, lang string")
+    judged = quality_rules.apply_rules(docs.select("doc_id", "text", "lang").unionByName(copies)).collect()
+    for lang in {r.lang for r in judged}:
+        rows = [r for r in judged if r.lang == lang]
+        values = sorted(r.log_perplexity for r in rows if not r.base_failed)
+        low, high = (values[math.ceil(p * len(values)) - 1] for p in (0.25, 0.75))
+        wide = 3 * (0.05 if lang == "same" else high - low)
+        assert lang == "same" or high - low > 1e-4
+        for r in rows:
+            assert abs(r.lower - (low - wide)) < 1e-9 and abs(r.upper - (high + wide)) < 1e-9
+            assert r.kept == (not r.base_failed and r.lower <= r.log_perplexity <= r.upper)
+    assert all(r.kept for r in judged if r.lang == "same")
+
+
 def test_classifier_on_held_out_rows(spark):
     rows = queries()["op1_quality_classifier"](spark, "/root/testdata/sf0.01").collect()
     labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
