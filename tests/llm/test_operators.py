@@ -387,6 +387,18 @@ def test_links_of_odd_rows(odd, none):
     assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 2, 3, 4, 5, None, 6, 8, 9]))
 
 
+def test_copies_with_null_ids_stay_linked(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    near, other, third = text.replace("w39", "x"), "another text of six plain words", "a third text that has no id"
+    rows = [(7, text), (None, text), (3, text), (5, near), (9, other), (8, other), (None, other), (None, third), (None, third), (None, third + " too"), (4, None), (None, " ")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.component_id) for r in jaccard_join.link_documents(frame, 3, 90).collect()]
+    expected = [(7, 3), (None, 3), (3, 3), (5, 3), (9, 8), (8, 8), (None, 8), *[(None, None)] * 4, (4, 4)]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    kept = [tuple(r) for r in jaccard_join.keep_one(frame, 3, 90).collect()]
+    assert sorted(kept, key=str) == sorted([(3, text), (8, other), (None, third), (None, third + " too"), (4, None), (None, " ")], key=str)
+
+
 def test_components_of_paths_stars_and_loops(spark):
     edges = [(i, i + 1) for i in range(20)] + [(100, k) for k in range(101, 130)] + [(7, 7), (None, 3), (2, 1), (1, 2)]
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

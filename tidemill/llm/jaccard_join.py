@@ -199,18 +199,18 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
 
 
 def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str = "text") -> DataFrame:
-    """One row per document: ``doc_id``, ``key``, ``n_shingles``, ``component_id``.
+    """One row per document: ``doc_id``, ``key``, ``n_shingles``, ``component_id``, ``component``.
 
     Documents link when the Jaccard similarity of their sets of ``size``-word shingles (words split at ASCII white
     space, A-Z lower-cased) is at least ``percent`` / 100, exactly; ``component_id`` is the least ``doc_id`` reachable
     over links. A text with fewer words has one shingle, all of them; a null text or one without words has none and is
     linked with nothing. Every row stays, repeated rows and null ids too (a null id counts only where a component has
-    no other). ``key`` is a hash of text and id. Other columns are not read. An empty table gives an empty one.
+    no other). ``key`` is a hash of text and id, ``component`` names the linked group (null without words). Other columns are not read. An empty table gives an empty one.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = _sketches(docs, size, percent)
     first = F.min(F.struct("doc_id", "key", "n", "mark", "parity", "wide")).alias("first")
-    nodes = sketches.filter(F.col("n") > 0).groupBy("node").agg(first).select("node", "first.*")
+    nodes = sketches.filter(F.col("n") > 0).groupBy("node").agg(first, F.min("doc_id").alias("least_id")).select("node", "first.*", "least_id")
     group = Window.partitionBy("n", "mark")
     nodes = store(nodes.withColumn("group", F.min("node").over(group)), "nodes")
 
@@ -254,22 +254,22 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str
     more = _verified(docs, nodes, pairs, size, percent)
     found = store(connected_components(links.unionByName(more)), "components")
 
-    labelled = nodes.join(found, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
-    least = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    labels = labelled.join(least, "component").select("node", "component_id")
+    labelled = nodes.join(found, "node", "left").select("node", "least_id", F.coalesce("component", "node").alias("component"))
+    least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    labels = labelled.join(least, "component").select("node", "component_id", "component")
     return sketches.join(labels, "node", "left").select(
-        "doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "component"
     )
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
-    """Documents without their near copies: of each linked group, the one with the least id stays, as it is.
+    """Documents without their near copies: of each linked group, the one with the least id (null last) stays, as it is.
 
     Documents without words stay, all of them. Of rows with equal id and text one stays.
     """
     linked = link_documents(docs, size, percent, text)
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id"))
-    kept = linked.filter(F.col("n_shingles") > 0).groupBy(component.alias("c")).agg(F.min(F.struct("doc_id", "key")).alias("first"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first")
+    kept = linked.filter(F.col("n_shingles") > 0).groupBy("component").agg(first)
     kept = kept.select(F.col("first.key").alias("_key")).unionByName(linked.filter(F.col("n_shingles") == 0).select(F.col("key").alias("_key"))).distinct()
     plain = docs.toDF(*[f"_p{i}" for i in range(len(docs.columns))])
     body, number = (plain[f"_p{docs.columns.index(c)}"] for c in (text, "doc_id"))
