@@ -418,6 +418,22 @@ def test_licences_and_directories(spark, odd, none):
     assert licences.scan_licences(odd, path="source").count() == odd.count() and licences.scan_licences(none, path="source").count() == 0
 
 
+def test_statements_beside_other_cues_are_found(spark):
+    rows = [
+        (1, "See the license notes given below: Licensed under CC BY-NC 4.0. " + "Other words go on and on here " * 6),
+        (2, "Other words go on and on here " * 6 + "licensing and other such matters: Licensed under CC BY-NC 4.0. " + "More of them follow now " * 6),
+    ]
+    got = {r.doc_id: r.license for r in licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string"), path="text").collect()}
+    assert got == {1: "CC-BY-NC-4.0", 2: "CC-BY-NC-4.0"}
+    known, rng = licences.Templates(licences.TEMPLATES), np.random.default_rng(4)
+    vocabulary = ["licensed", "license", "under", "the", "gnu", "mit", "cc", "by-nc", "4.0", "version", "public", "domain", "free", "software", "x", "y", "spdx"]
+    for _ in range(60):
+        some = rng.choice(vocabulary, 60).tolist()
+        cues = licences.cue_places(some)
+        runs = [some[a:b] for a in range(60) for b in range(a + 1, min(a + known.reach, 60) + 1) if any(a <= c < b for c in cues)]
+        assert abs(known.best(known.nearest(some))[0] - max((known.best(r)[0] for r in runs), default=0.0)) < 1e-9
+
+
 def test_licence_query_against_plain_search(spark, texts):
     phrases = {"GPL-3.0": "GNU General Public License, version 3", "MIT": "under the MIT License.", "Apache-2.0": "Apache License, Version 2.0", "CC-BY-NC-4.0": "CC BY-NC 4.0"}
     for r in queries()["op10_licences"](spark, FOLDER).collect():
