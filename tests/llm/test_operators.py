@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -434,6 +435,22 @@ def test_statements_beside_other_cues_are_found(spark):
         assert abs(known.best(known.nearest(some))[0] - max((known.best(r)[0] for r in runs), default=0.0)) < 1e-9
 
 
+def test_wrapped_statements_are_read_across_lines(spark):
+    rows, expected = [], {}
+    for name, statements in licences.TEMPLATES.items():
+        for statement in statements:
+            for width in (60, 65, 70, 75):
+                for mark in ("", "* ", "# ", "// "):
+                    lines = textwrap.wrap(statement, width, break_on_hyphens=False)
+                    expected[len(rows)] = name
+                    rows.append((len(rows), "int x;\n/*\n" + "".join(f"{mark}{x}\n" for x in lines) + "*/\nint main() { return x; }\n"))
+    rows.append((-1, "Permission\n# is\n# hereby granted, free of charge, to any person obtaining a copy of this software"))
+    expected[-1] = "MIT"
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = licences.scan_licences(frame, path="text").select("doc_id", "license", "similarity").collect()
+    assert {r.doc_id: r.license for r in got} == expected and min(r.similarity for r in got if r.doc_id >= 0) > 0.99
+
+
 def test_licence_query_against_plain_search(spark, texts):
     phrases = {"GPL-3.0": "GNU General Public License, version 3", "MIT": "under the MIT License.", "Apache-2.0": "Apache License, Version 2.0", "CC-BY-NC-4.0": "CC BY-NC 4.0"}
     for r in queries()["op10_licences"](spark, FOLDER).collect():
