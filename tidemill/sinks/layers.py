@@ -18,4 +18,13 @@ def store(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = folder or f"{work_folder(spark)}/layers/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the folders of stored frames. Call it only when whatever reads them has been stored itself."""
+    for frame in frames:
+        path = frame.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        path.getFileSystem(frame.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
