@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.sinks.layers import store
+from tidemill.sinks.layers import discard, store
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """``node`` and ``component`` (its least reachable node) for all nodes of the edges ``a``, ``b``.
+    """``node`` and ``component`` (its least reachable node) for all nodes of the edges ``a``, ``b``, stored.
 
     Nodes are of any type that can be ordered; null ends, loops and repeated edges are ignored. Every round joins
     and aggregates on a node, never gathers a neighbourhood, and its result is stored in the shared folder.
@@ -32,10 +32,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = store(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     while True:
-        edges = store(_small_star(_large_star(edges)).distinct(), "stars")
+        before, edges = edges, store(_small_star(_large_star(edges)).distinct(), "stars")
+        discard(before)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+            labelled = edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
+            labelled = store(labelled, "components")
+            discard(edges)
+            return labelled
         seen = state

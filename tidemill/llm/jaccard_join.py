@@ -7,13 +7,14 @@ Two sets with a Jaccard similarity of at least ``percent`` share a gram within t
 2. Only groups put their prefix grams into the inverted index; a gram of a single group is dropped there.
 3. Each node proposes a link to the most similar of the groups next to it in its index lists, or of its own
    group. These are verified and joined into components. Components need not be searched again inside.
-4. All pairs of nodes of different components that meet in an index list are filtered by size and by a bound on
-   the difference (parities of hashed grams, 256 in the join, then about one for each gram), expanded to nodes and
-   verified.
+4. Pairs of groups that meet in an index list are filtered by component, size, position in both prefixes and
+   a bound on the difference (parities of hashed grams). A pair that met at one of the ``BEFORE`` grams before is
+   not made again.
+5. What is left is expanded to pairs of nodes of different components, bounded by wider parities and verified.
 
 So a group of thousands of near copies costs a link for each, not one for each two, and no pair is lost. The
-order of grams puts those that repeat most last (they do not fill index lists) and goes by hash otherwise; it
-decides the cost only. Grams are 64-bit hashes.
+order of grams goes by how many sets hold them, the rarest first, as counted in ``COUNTERS`` hashed counters over all
+documents; it decides the cost only. Grams are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,11 +29,16 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import scan
 from tidemill.llm.components import connected_components
-from tidemill.sinks.layers import store
-
-#: Grams that are put last in the order, at most: the table is broadcast (12 bytes each).
-FREQUENT = 1 << 18
-LEAST_REPEATS = 8
+from tidemill.llm.workers import lean
+from tidemill.sinks.layers import discard, store
+
+#: Counters of grams; as bytes of a logarithm they are broadcast.
+COUNTERS = 1 << 22
+_SLICE = 1 << 12
+#: Groups that one task looks through for neighbours in the list of a gram; longer lists are dealt out.
+LIST = 4096
+#: Shared grams of a prefix before the one at hand that are looked at to make a pair once.
+BEFORE = 16
 _PARITY = 256  # bits
 #: Least and most bits of a set's wide parities: about one for each gram.
 _WIDE = (512, 1 << 15)
@@ -55,51 +61,49 @@ def gram_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
                 yield hashes[:0]
 
 
-def _frequent(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The grams that repeat most, sorted, and the rank of each (1 for the rarest of them).
+def _levels(docs: DataFrame, size: int) -> np.ndarray:
+    """For each counter, eight times the binary logarithm of (1 + the sets that hold one of its grams).
 
-    Repeats are summed over all documents from what is seen within a task; an equal set counts once there.
+    A task counts in its own table, equal sets in a row of batches once, and passes it on in slices; a slice's tables
+    are added as they come.
     """
 
-    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, held, seen = [], 0, set()
-
-        def out() -> pa.RecordBatch:
-            grams, sums = np.unique(np.concatenate(kept), return_counts=True)
-            again = sums > 1
-            return pa.RecordBatch.from_arrays([pa.array(grams[again].view(np.int64)), pa.array(sums[again])], names=["gram", "n"])
-
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, seen = np.zeros(COUNTERS, dtype=np.uint32), set()
         for batch in batches:
             for grams in gram_sets(batch.column("text"), size):
                 mark = hash(grams.tobytes())
-                if len(grams) and mark not in seen:
+                if mark not in seen:
                     seen.add(mark)
-                    kept.append(grams)
-                    held += len(grams)
-                if held > 1 << 21:
-                    yield out()
-                    kept, held, seen = [], 0, set()
-        if kept:
-            yield out()
-
-    found = (
-        docs.select("text").mapInArrow(repeats, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= LEAST_REPEATS).orderBy(F.desc("n"), "gram").limit(FREQUENT).toArrow()
-    )
-    grams = found.column("gram").to_numpy().view(np.uint64)
-    ranks = np.arange(len(grams), 0, -1, dtype=np.int32)
-    order = np.argsort(grams)
-    return grams[order], ranks[order]
-
-
-def _prefix(grams: np.ndarray, percent: int, frequent: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+                    np.add.at(table, _counter(grams), np.uint32(1))
+            if len(seen) > 1 << 18:
+                seen = set()
+        slices = [pa.compress(part.tobytes(), "zstd", asbytes=True) for part in table.reshape(-1, _SLICE)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(slices)), pa.int32()), pa.array(slices, pa.binary())], names=["slice", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, packed in zip(batch.column("slice").to_pylist(), batch.column("counts")):
+                counts = np.frombuffer(pa.decompress(packed.as_buffer(), _SLICE * 4, "zstd"), dtype=np.uint32)
+                sums[k] = sums[k] + counts if k in sums else counts.astype(np.int64)
+        levels = [np.minimum(np.round(8 * np.log2(1 + s)), 255).astype(np.uint8).tobytes() for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array(levels, pa.binary())], names=["slice", "levels"])
+
+    parts = docs.select("text").mapInArrow(lean(count), "slice int, counts binary").repartition("slice")
+    out = np.zeros((COUNTERS // _SLICE, _SLICE), dtype=np.uint8)
+    for row in parts.mapInArrow(lean(add), "slice int, levels binary").toArrow().to_pylist():
+        out[row["slice"]] = np.frombuffer(row["levels"], dtype=np.uint8)
+    return out.reshape(-1)
+
+
+def _counter(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(65 - COUNTERS.bit_length())).astype(np.int64)
+
+
+def _prefix(grams: np.ndarray, percent: int, levels: np.ndarray) -> np.ndarray:
     length = len(grams) - -(-percent * len(grams) // 100) + 1
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
-        known = frequent[at] == grams
-        if known.any():
-            grams = grams[np.argsort(np.where(known, ranks[at], 0), kind="stable")]
-    return grams[:length]
+    return grams[np.argsort(levels[_counter(grams)], kind="stable")[:length]]
 
 
 def _parities(grams: np.ndarray) -> np.ndarray:
@@ -119,14 +123,15 @@ def wide_difference(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0) ^ x).sum())
 
 
-def _key(text: str) -> Column:
-    return F.xxhash64(F.col(text), F.col("doc_id"))
+def _key(text: str, doc_id: str) -> Column:
+    """A 128-bit digest of a row's text and id."""
+    body = F.when(F.col(text).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(text)))
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), body)))
 
 
 def _sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """A stored row per document: ``doc_id``, ``key`` (of its row), ``n`` (set size), ``node``, ``prefix`` and its ``mark``, ``parity``, ``wide``."""
-    frequent, ranks = _frequent(docs, size)
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, ranks))
+    shared = docs.sparkSession.sparkContext.broadcast(_levels(docs, size))
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,7 +139,7 @@ def _sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
             for grams in gram_sets(batch.column("text"), size):
                 sizes.append(len(grams))
                 nodes.append(blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
-                prefix = _prefix(grams, percent, *shared.value).view(np.int64) if len(grams) else grams.view(np.int64)
+                prefix = _prefix(grams, percent, shared.value).view(np.int64) if len(grams) else grams.view(np.int64)
                 prefixes.append(prefix)
                 marks.append(blake2b(prefix.tobytes(), digest_size=16).digest())
                 parities.append(_parities(grams))
@@ -145,9 +150,9 @@ def _sketches(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 names=["doc_id", "key", "n", "node", "prefix", "mark", "parity", "wide"],
             )
 
-    rows = docs.select("doc_id", "text", _key("text").alias("key"))
-    schema = "doc_id long, key long, n long, node binary, prefix array<long>, mark binary, parity array<long>, wide binary"
-    return store(rows.mapInArrow(sketch, schema), "sketches")
+    rows = docs.select("doc_id", "text", _key("text", "doc_id").alias("key"))
+    schema = "doc_id long, key binary, n long, node binary, prefix array<long>, mark binary, parity array<long>, wide binary"
+    return store(rows.mapInArrow(lean(sketch), schema), "sketches")
 
 
 def _fits(small: Column, large: Column, percent: int) -> Column:
@@ -176,11 +181,11 @@ def _narrowed(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
     sizes = nodes.select("node", "n", "wide")
     both = pairs.join(sizes.toDF("a", "n_a", "wide_a"), "a").join(sizes.toDF("b", "n_b", "wide_b"), "b")
-    return both.mapInArrow(possible, "a binary, b binary")
+    return both.mapInArrow(lean(possible), "a binary, b binary")
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those pairs ``a``, ``b`` of nodes whose sets have the similarity, from the whole texts of one document each."""
+    """Those stored pairs ``a``, ``b`` of nodes whose sets have the similarity, from the whole texts of one document each. ``pairs`` goes."""
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,14 +193,62 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "grams"])
 
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = nodes.join(ends, "node").select("node", F.col("key").alias("_key"), F.col("doc_id").alias("_doc"))
-    rows = docs.select("text", F.col("doc_id"), _key("text").alias("key"))
-    texts = rows.join(wanted, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
-    sets = store(texts.select("node", "text").mapInArrow(grams, "node binary, grams array<long>").dropDuplicates(["node"]), "sets")
+    wanted = store(nodes.join(ends, "node").select("node", F.col("key").alias("_key")), "wanted")
+    rows = docs.select("text", _key("text", "doc_id").alias("_key"))
+    texts = rows.join(wanted, "_key")
+    sets = store(texts.select("node", "text").mapInArrow(lean(grams), "node binary, grams array<long>").dropDuplicates(["node"]), "sets")
     both = pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
     common = F.size(F.array_intersect("grams_a", "grams_b"))
     union = F.size("grams_a") + F.size("grams_b") - common
-    return store(both.filter(100 * common >= percent * union).select("a", "b"), "links")
+    links = store(both.filter(100 * common >= percent * union).select("a", "b"), "links")
+    discard(pairs, wanted, sets)
+    return links
+
+
+def _index(sketches: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The stored index of groups: ``gram``, ``group``, ``n``, ``pos`` and up to three groups before it in the gram's list.
+
+    Lists go by size. A gram of one group is left out, and one whose neighbours in the list have no fitting size. Lists
+    longer than ``LIST`` are dealt out over several tasks, and stay as they are.
+    """
+    leaders = nodes.filter(F.col("node") == F.col("group")).select("node", "n")
+    once = sketches.filter(F.col("n") > 0).select("node", "prefix").dropDuplicates(["node"])  # equal sets have one prefix
+    entries = once.join(leaders, "node").select(F.col("node").alias("group"), "n", F.posexplode("prefix").alias("pos", "gram"))
+    lengths = entries.groupBy("gram").agg(F.count("*").alias("length")).filter("length > 1")
+    shares = F.ceil(F.col("length") / LIST)
+    entries = entries.join(lengths, "gram").withColumn("share", F.pmod(F.xxhash64("group"), shares))
+    listed = Window.partitionBy("gram", "share").orderBy("n", "group")
+    near = [F.lag(F.struct("group", "n"), k).over(listed).alias(f"near{k}") for k in (1, 2, 3)]
+    n, alone = F.col("n"), F.lit(False)
+    fits = F.coalesce(_fits(F.col("near1.n"), n, percent), alone) | F.coalesce(_fits(n, F.col("next_n"), percent), alone)
+    index = entries.select("*", *near, F.lead("n").over(listed).alias("next_n")).filter(fits | (F.col("length") > LIST))
+    return store(index.select("gram", "group", "n", "pos", "near1", "near2", "near3"), "index")
+
+
+def _group_pairs(index: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Stored pairs ``g``, ``h`` of groups that may hold similar nodes of different components, once or nearly so.
+
+    ``groups`` has ``component`` (null if mixed), ``parity`` (null unless the group is one node).
+    """
+    entries = index.select("gram", "group", "n", "pos").join(groups.select("group", "component"), "group")
+    mixed = entries.groupBy("gram").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count_if(F.col("component").isNull()).alias("unsure")
+    ).filter((F.col("least") != F.col("most")) | (F.col("unsure") > 0)).select("gram")
+    entries = entries.drop("component").join(mixed, "gram", "left_semi").join(groups, "group")
+    earlier = Window.partitionBy("group").orderBy("pos").rowsBetween(-BEFORE, -1)
+    lists = store(entries.withColumn("before", F.collect_list("gram").over(earlier)), "lists")
+    x, y = lists.alias("x"), lists.alias("y")
+    both = F.col("x.n") + F.col("y.n")
+    in_order = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.group") < F.col("y.group")))
+    apart = F.coalesce(F.col("x.component") != F.col("y.component"), F.lit(True))
+    # At the first common gram, what both can still have in common must reach the overlap needed.
+    reach = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (100 + percent) >= percent * both
+    seen = F.arrays_overlap("x.before", "y.before")
+    close = F.coalesce(_close("x", "y", percent), F.lit(True))
+    pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & in_order & apart & _fits(F.col("x.n"), F.col("y.n"), percent) & reach & close & ~seen)
+    pairs = store(pairs.select(F.col("x.group").alias("g"), F.col("y.group").alias("h")).distinct(), "group-pairs")
+    discard(lists)
+    return pairs
 
 
 def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str = "text") -> DataFrame:
@@ -205,28 +258,22 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str
     space, A-Z lower-cased) is at least ``percent`` / 100, exactly; ``component_id`` is the least ``doc_id`` reachable
     over links. A text with fewer words has one shingle, all of them; a null text or one without words has none and is
     linked with nothing. Every row stays, repeated rows and null ids too (a null id counts only where a component has
-    no other). ``key`` is a hash of text and id, ``component`` names the linked group (null without words). Other columns are not read. An empty table gives an empty one.
+    no other). ``doc_id`` must be castable to long. ``key`` is a digest of text and id, ``component`` names the linked
+    group (null without words). Other columns are not read. An empty table gives an empty one.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = _sketches(docs, size, percent)
     first = F.min(F.struct("doc_id", "key", "n", "mark", "parity", "wide")).alias("first")
     nodes = sketches.filter(F.col("n") > 0).groupBy("node").agg(first, F.min("doc_id").alias("least_id")).select("node", "first.*", "least_id")
-    group = Window.partitionBy("n", "mark")
-    nodes = store(nodes.withColumn("group", F.min("node").over(group)), "nodes")
-
-    # The index, without lists of one group whose size fits no other's.
-    groups = nodes.filter(F.col("node") == F.col("group")).select("node", "n")
-    once = sketches.filter(F.col("n") > 0).select("node", "prefix").dropDuplicates(["node"])  # equal sets have one prefix
-    prefixes = once.join(groups, "node").select(F.col("node").alias("group"), "n", F.explode("prefix").alias("gram"))
-    listed = Window.partitionBy("gram").orderBy("n", "group")
-    near = [F.lag(F.struct("group", "n"), k).over(listed).alias(f"near{k}") for k in (1, 2, 3)]
-    index = prefixes.select("*", *near, F.lead("n").over(listed).alias("next_n"))
-    n, listless = F.col("n"), F.lit(False)
-    index = index.filter(F.coalesce(_fits(F.col("near1.n"), n, percent), listless) | F.coalesce(_fits(n, F.col("next_n"), percent), listless))
-    index = store(index.drop("next_n"), "index")
+    plain = store(nodes, "sets")
+    leaders = plain.groupBy("n", "mark").agg(F.min("node").alias("group"), F.count("*").alias("members"))
+    nodes = store(plain.join(leaders, ["n", "mark"]), "nodes")
+    discard(plain)
+    index = _index(sketches, nodes, percent)
 
     # A link for each node to the closest neighbour before it.
     sketch = nodes.select("node", "n", "parity")
+    n = F.col("n")
     neighbours = index.select("group", F.explode(F.array("near1", "near2", "near3")).alias("near"), "n").filter(_fits(F.col("near.n"), n, percent))
     proposed = neighbours.select(F.col("group").alias("a"), F.col("near.group").alias("b")).unionByName(
         nodes.filter(F.col("node") != F.col("group")).select(F.col("node").alias("a"), F.col("group").alias("b"))
@@ -235,29 +282,31 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str
     distance = _difference(F.col("x.parity"), F.col("y.parity"))
     best = compared.filter(_close("x", "y", percent)).groupBy("a").agg(F.min(F.struct(distance, "b")).alias("best"))
     links = _verified(docs, nodes, store(_narrowed(nodes, best.select("a", "best.b"), percent), "proposed"), size, percent)
-    found = store(connected_components(links), "components")
-
-    # All other pairs that may be similar lie in different components.
-    member = nodes.join(found, "node", "left").select("node", "n", "parity", "group", F.coalesce("component", "node").alias("component"))
-    member = store(member, "members")
-    alone = F.count("*").over(Window.partitionBy("group")) == 1
-    own = member.withColumn("alone", alone).filter(~F.col("alone")).select(F.xxhash64("group").alias("gram"), "node", "n", "parity", "component")
-    lists = index.select("gram", "group").join(member, "group").select("gram", "node", "n", "parity", "component").unionByName(own)
-    mixed = lists.groupBy("gram").agg((F.min("component") != F.max("component")).alias("mixed")).filter("mixed").select("gram")
-    lists = store(lists.join(mixed, "gram", "left_semi"), "lists")
-    x, y = lists.alias("x"), lists.alias("y")
-    before = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
-    other = (F.col("x.gram") == F.col("y.gram")) & before & (F.col("x.component") != F.col("y.component"))
-    pairs = x.join(y, other & _fits(F.col("x.n"), F.col("y.n"), percent) & _close("x", "y", percent))
-    pairs = pairs.select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
-    pairs = store(_narrowed(nodes, pairs, percent), "pairs")
-    more = _verified(docs, nodes, pairs, size, percent)
-    found = store(connected_components(links.unionByName(more)), "components")
+    found = connected_components(links)
+
+    # All other pairs that may be similar lie in different components: first of groups, then of their members.
+    member = store(nodes.join(found, "node", "left").select("node", "n", "parity", "group", "members", F.coalesce("component", "node").alias("component")), "members")
+    same = F.min("component") == F.max("component")
+    groups = store(member.groupBy("group").agg(
+        F.when(same, F.min("component")).alias("component"), F.when(F.count("*") == 1, F.min("parity")).alias("parity"),
+    ), "groups")
+    met = _group_pairs(index, groups, percent)
+    own = groups.filter(F.col("component").isNull()).select(F.col("group").alias("g"), F.col("group").alias("h"))
+    x, y = member.alias("x"), member.alias("y")
+    opened = met.unionByName(own).join(x, F.col("g") == F.col("x.group"))
+    apart = (F.col("x.component") != F.col("y.component")) & ((F.col("g") != F.col("h")) | (F.col("x.node") < F.col("y.node")))
+    pairs = opened.join(y, (F.col("h") == F.col("y.group")) & apart & _close("x", "y", percent))
+    pairs = pairs.select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))
+    more = _verified(docs, nodes, store(_narrowed(nodes, pairs, percent), "pairs"), size, percent)
+    discard(index, member, groups, met, found)
+    found = connected_components(links.unionByName(more))
+    discard(links, more)
 
     labelled = nodes.join(found, "node", "left").select("node", "least_id", F.coalesce("component", "node").alias("component"))
     least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    labels = labelled.join(least, "component").select("node", "component_id", "component")
-    return sketches.join(labels, "node", "left").select(
+    labels = store(labelled.join(least, "component").select("node", "component_id", "component"), "labels")
+    discard(nodes, found)
+    return sketches.select("doc_id", "key", "n", "node").join(labels, "node", "left").select(
         "doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "component"
     )
 
@@ -272,6 +321,6 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, text: str = "tex
     kept = linked.filter(F.col("n_shingles") > 0).groupBy("component").agg(first)
     kept = kept.select(F.col("first.key").alias("_key")).unionByName(linked.filter(F.col("n_shingles") == 0).select(F.col("key").alias("_key"))).distinct()
     plain = docs.toDF(*[f"_p{i}" for i in range(len(docs.columns))])
-    body, number = (plain[f"_p{docs.columns.index(c)}"] for c in (text, "doc_id"))
-    marked = plain.withColumn("_key", F.xxhash64(body, number.cast("long")))
+    body, number = (f"_p{docs.columns.index(c)}" for c in (text, "doc_id"))
+    marked = plain.withColumn("_long", F.col(number).cast("long")).withColumn("_key", _key(body, "_long")).drop("_long")
     return marked.join(kept, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key").toDF(*docs.columns)
