@@ -37,6 +37,8 @@ COUNTERS = 1 << 22
 _SLICE = 1 << 12
 #: Groups that one task looks through for neighbours in the list of a gram; longer lists are dealt out.
 LIST = 4096
+#: Keys of documents to verify that are broadcast, at most (16 bytes each).
+SENT = 1 << 21
 #: Shared grams of a prefix before the one at hand that are looked at to make a pair once.
 BEFORE = 16
 _PARITY = 256  # bits
@@ -185,18 +187,22 @@ def _narrowed(nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those stored pairs ``a``, ``b`` of nodes whose sets have the similarity, from the whole texts of one document each. ``pairs`` goes."""
+    """Those stored pairs ``a``, ``b`` of nodes whose sets have the similarity, from the whole texts of one document each. ``pairs`` goes.
+
+    Keys of up to ``SENT`` documents are broadcast, so that no text is shuffled; more are joined by shuffle.
+    """
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [s.view(np.int64) for s in gram_sets(batch.column("text"), size)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "grams"])
+            sets = list(gram_sets(batch.column("text"), size))
+            nodes = [blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "grams"])
 
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = store(nodes.join(ends, "node").select("node", F.col("key").alias("_key")), "wanted")
-    rows = docs.select("text", _key("text", "doc_id").alias("_key"))
-    texts = rows.join(wanted, "_key")
-    sets = store(texts.select("node", "text").mapInArrow(lean(grams), "node binary, grams array<long>").dropDuplicates(["node"]), "sets")
+    wanted = store(nodes.join(ends, "node").select(F.col("key").alias("_key")), "wanted")
+    keys = F.broadcast(wanted) if wanted.count() <= SENT else wanted
+    texts = docs.select("text", _key("text", "doc_id").alias("_key")).join(keys, "_key", "left_semi")
+    sets = store(texts.select("text").mapInArrow(lean(grams), "node binary, grams array<long>").dropDuplicates(["node"]), "sets")
     both = pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
     common = F.size(F.array_intersect("grams_a", "grams_b"))
     union = F.size("grams_a") + F.size("grams_b") - common
