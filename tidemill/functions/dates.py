@@ -35,12 +35,15 @@ def parse_timestamp(text: Column, formats: Sequence[str] = ()) -> Column:
 
     Text with a zone or zone name becomes UTC (an unknown zone makes it null), text without one is taken as it stands.
     """
-    text = F.regexp_replace(text, NO_SECONDS, "$1:00$2")
-    zoned = from_instant(text.try_cast("timestamp"))
-    has_zone = (F.length(text) > len("2024-01-01T00:00")) & text.rlike(ZONED)
-    iso = F.when(has_zone, zoned).otherwise(text.try_cast("timestamp_ntz"))
+    filled = F.regexp_replace(text, NO_SECONDS, "$1:00$2")
     others = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(iso, *others, basic_or_week_date(text))
+    # The rarer forms come last, so that their patterns run only on texts that the plain casts refuse.
+    return F.coalesce(_iso(text), _iso(filled), *others, basic_or_week_date(text))
+
+
+def _iso(text: Column) -> Column:
+    has_zone = (F.length(text) > len("2024-01-01T00:00")) & text.rlike(ZONED)
+    return F.when(has_zone, from_instant(text.try_cast("timestamp"))).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def basic_or_week_date(text: Column) -> Column:

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.numbers import looks_numeric
+
 
 def parse_records(df: DataFrame, raw: str, schema: str, keep: Sequence[str] = ()) -> DataFrame:
     """Parse a JSON text column into top-level columns, dropping all others but ``keep``.
@@ -41,23 +43,31 @@ def strict_number(field: Column, dtype: str, name: str) -> Column:
     return (
         F.when(~present(field), F.lit(0).cast(dtype))
         .when(F.is_variant_null(field), F.raise_error(F.lit(f"{name} is null")))
+        .when(_odd_text(F.to_json(field)), _not_a(dtype, name, F.to_json(field)).cast(dtype))
         .otherwise(field.cast(dtype))
     )
 
 
+def _odd_text(shown: Column) -> Column:
+    """A JSON text that is no plain number: a cast alone takes ``12d`` and ``NaN``. ``shown`` is a value as JSON."""
+    return shown.startswith('"') & ~looks_numeric(F.btrim(shown, F.lit('"')))
+
+
+def _not_a(dtype: str, name: str, shown: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(f"{name} is no {dtype}: "), shown))
+
+
 def checked_number(field: Column, dtype: str, name: str, text: bool = True) -> Column:
     """The number of a JSON value; null when absent or null. Anything that is no such number fails the job.
 
     A whole number written with a fraction fits an integer type, and so does a number in a text unless ``text`` is false.
     """
-    shown = F.try_variant_get(field, "$", "string")
-    number = shown.try_cast("double")
+    number = F.try_variant_get(field, "$", "double")
     value = number.cast("long").cast(dtype) if dtype == "int" else number.cast(dtype)
     fits = number.isNotNull() & (number.between(-(2**31), 2**31 - 1) & (F.floor(number) == number) if dtype == "int" else F.lit(True))
-    if not text:
-        fits = fits & (F.schema_of_variant(field) != "STRING")
-    bad = F.raise_error(F.concat(F.lit(f"{name} is no {dtype}: "), F.coalesce(shown, F.lit("a nested value"))))
-    return F.when(field.isNull() | F.is_variant_null(field), F.lit(None)).when(fits, value).otherwise(bad).cast(dtype)
+    shown = F.to_json(field)
+    fits = fits & ~shown.isin("true", "false") & ~(_odd_text(shown) if text else shown.startswith('"'))
+    return F.when(field.isNull() | F.is_variant_null(field), F.lit(None)).when(fits, value).otherwise(_not_a(dtype, name, shown)).cast(dtype)
 
 
 def missing_keys(fields: Mapping[str, Column]) -> Column:

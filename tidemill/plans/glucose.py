@@ -67,8 +67,9 @@ COMMON_FIELDS = ["_id", "id", "type", "created_at", "enteredBy", "notes"]
 
 def entries(df: DataFrame, raw: str = "raw") -> DataFrame:
     """Sensor readings, with the value also in mmol/L. A value of another kind than its field fails the job."""
-    sgv = checked_number(F.col("sgv"), "double", "sgv", text=False)
-    return parse_records(df, raw, ENTRY).select(
+    sgv = F.col("_sgv")
+    parsed = parse_records(df, raw, ENTRY).withColumn("_sgv", checked_number(F.col("sgv"), "double", "sgv", text=False))
+    return parsed.select(
         F.col("_id").alias("id"),
         "device",
         parse_variant_timestamp(F.col("date")).alias("date"),
@@ -127,10 +128,15 @@ def profiles(df: DataFrame, raw: str = "raw") -> DataFrame:
     )
 
 
+def _member(value: Column, name: str) -> Column:
+    """A number of a JSON object; null where there is no object or no such member."""
+    return checked_number(F.try_variant_get(value, f"$.{name}", "variant"), "double", name)
+
+
 def device_status(df: DataFrame, raw: str = "raw") -> DataFrame:
-    """Device status with the pump, uploader and loop parts that the record has."""
+    """Device status with the pump, uploader and loop parts that the record has. A value that is no number fails the job."""
     pump, uploader, loop = F.col("pump"), F.col("uploader"), F.col("loop")
-    insulin_on_board = scalar_or_member(pump["iob"], "bolusiob", "double")
+    insulin_on_board = checked_number(scalar_or_member(pump["iob"], "bolusiob", "variant"), "double", "pump.iob")
     return parse_records(df, raw, DEVICE_STATUS).select(
         F.col("_id").alias("id"),
         parse_variant_timestamp(F.col("created_at")).alias("created_at"),
@@ -142,23 +148,24 @@ def device_status(df: DataFrame, raw: str = "raw") -> DataFrame:
         uploader.alias("uploader"),
         F.when(
             loop.isNotNull(),
-            loop.withField("iob", F.try_variant_get(loop["iob"], "$.netInsulin", "double")).withField(
-                "cob", F.try_variant_get(loop["cob"], "$.cob", "double")
-            ),
+            loop.withField("iob", _member(loop["iob"], "netInsulin")).withField("cob", _member(loop["cob"], "cob")),
         ).alias("loop"),
     )
 
 
 # The field that a time range applies to, per record set; profiles are read in full.
-TIME_FIELDS = {"entries": ("date", "bigint"), "treatments": ("created_at", "string"), "devicestatus": ("created_at", "string")}
+TIME_FIELDS = {"entries": "date", "treatments": "created_at", "devicestatus": "created_at"}
 
 
 def recent(df: DataFrame, name: str, as_of: Any = None, days: int = 1, limit: int | None = None, raw: str = "raw") -> DataFrame:
-    """Records of a set within the last days, with ``limit`` only the newest of them; profiles are never cut."""
+    """Records of a set within the last days, with ``limit`` only the newest of them; profiles are never cut.
+
+    The time may be epoch milliseconds or ISO text, as the transforms take both.
+    """
     if name not in TIME_FIELDS:
         return df
-    field, dtype = TIME_FIELDS[name]
-    timed = df.withColumn("_at", F.get_json_object(raw, f"$.{field}").try_cast(dtype))
+    field = TIME_FIELDS[name]
+    timed = df.withColumn("_at", parse_variant_timestamp(F.from_json(raw, f"{field} variant")[field]))
     return time_range(timed, "_at", as_of, days, limit, tie_breaker=raw).drop("_at")
 
 
