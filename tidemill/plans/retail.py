@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -261,3 +261,19 @@ def sales_by_store_mart(
     # A store has one row per month by now, so no key of this join can be hot.
     left, right = suffix_clashes(monthly, stores, ["store_id"])
     return left.join(right, "store_id", "left")
+
+
+def sales_growth(mart: DataFrame, value: str = "total_sales") -> DataFrame:
+    """The store mart with the sales of the month before and of the same month a year before, and the growth over both.
+
+    Neighbours are found by the calendar: where the month before has no row there is no growth, however near the last row
+    is. Growth is (now - before) / before; null where either is null or the earlier sales are zero. The mart has one row
+    per store and month, so a store's window is as long as its history in months. Its column ``value`` is named by the caller.
+    """
+    month = F.col("year") * 12 + F.col("month")
+    by_store = Window.partitionBy("store_id").orderBy(month)
+    earlier = {"month": 1, "year": 12}
+    before = {k: F.first(value).over(by_store.rangeBetween(-n, -n)) for k, n in earlier.items()}
+    known = mart.withColumns({f"previous_{k}_sales": c for k, c in before.items()})
+    changes = {f"{k}_growth": numbers.ratio(F.col(value) - F.col(f"previous_{k}_sales"), F.col(f"previous_{k}_sales")) for k in earlier}
+    return known.withColumns(changes)

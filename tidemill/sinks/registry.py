@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.dates import instant
@@ -63,6 +64,13 @@ def create_datasets_view(spark: SparkSession) -> None:
     )
 
 
+def _folder_of(key: Column) -> Column:
+    """A partition value as Spark names its folder."""
+    for character in "%\"#'*/:=?\\\x7f{[]^":
+        key = F.replace(key, F.lit(character), F.lit(f"%{ord(character):02X}"))
+    return F.when((key == "") | key.isNull(), "__HIVE_DEFAULT_PARTITION__").otherwise(key)
+
+
 def partition_stats(
     df: DataFrame, dataset: str, partition: str, value: str, location: str, storage_type: str = "parquet"
 ) -> DataFrame:
@@ -81,14 +89,24 @@ def partition_stats(
             "min_value",
             "max_value",
             "row_count",
-            F.concat(F.lit(f"{location}/{partition}="), "partition_key").alias("storage_location"),
+            F.concat(F.lit(f"{location}/{partition}="), _folder_of(F.col("partition_key"))).alias("storage_location"),
             F.lit(storage_type).alias("storage_type"),
         )
     )
 
 
-def record_partitions(stats: DataFrame, root: str) -> int:
+def partition_rows(stats: DataFrame, as_of: Any = None, metadata: Mapping[str, Any] | None = None) -> DataFrame:
+    """Statistics as rows of the partition table: with an id made of dataset and key, the time, and ``metadata`` as JSON."""
+    number = F.xxhash64("dataset", F.coalesce("partition_key", F.lit("")), F.col("partition_key").isNull())
+    return stats.select(
+        number.alias("id"), "*", instant(as_of).alias("created_at"),
+        F.lit(json.dumps(metadata) if metadata is not None else None).cast("string").alias("metadata"),
+    )
+
+
+def record_partitions(stats: DataFrame, root: str, as_of: Any = None, metadata: Mapping[str, Any] | None = None) -> int:
     """Add or update the statistics of partitions in their table; returns how many."""
+    stats = partition_rows(stats, as_of, metadata)
     stats.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {PARTITIONS.split('.')[0]}")
     return upsert_table(stats, PARTITIONS, root, ["dataset", "partition_key"])
 

@@ -32,7 +32,7 @@ def remove_versions(spark: SparkSession, table: str, root: str, keep: int = 1) -
 
 
 @contextmanager
-def _kept(df: DataFrame) -> Iterator[DataFrame]:
+def kept(df: DataFrame) -> Iterator[DataFrame]:
     """Keep a batch that is read several times, in memory or on disk, until the load is done."""
     df = df.persist()
     try:
@@ -79,7 +79,7 @@ def upsert_table(
     if version and table_location(spark, table).endswith(f"/{version}"):
         return 0
     seen = Observation()
-    with _kept(newest(batch, keys, order)) as incoming:
+    with kept(newest(batch, keys, order)) as incoming:
         publish(upsert(spark.table(table), incoming, keys, order=(), seen=seen), table, root, version)
     return seen.get["rows"]
 
@@ -101,7 +101,7 @@ def upsert_table_columns(
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Inserts replace only the partitions that they have rows for. Tables take this from the session alone."""
     name = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(name)
@@ -120,7 +120,7 @@ def _homes(stored: DataFrame, batch: DataFrame, keys: Sequence[str], partition:
     return values.distinct()
 
 
-def _in_partitions(stored: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
+def in_partitions(stored: DataFrame, touched: DataFrame, partition: str) -> DataFrame:
     """Stored rows of the touched partitions; other partitions are pruned while the query runs."""
     is_null, one = F.col(partition).isNull(), F.lit(1).alias("_one")
     named = stored.join(touched.filter(~is_null), partition, "left_semi")
@@ -157,12 +157,12 @@ def upsert_partitions(
         spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{root}'")
     stored = spark.table(table)
     seen = Observation()
-    with _kept(incoming) as rows:
+    with kept(incoming) as rows:
         touched = store(_homes(stored, rows, keys, partition, stable), "touched")
-        changed = upsert(_in_partitions(stored, touched, partition), rows, keys, order=(), seen=seen)
+        changed = upsert(in_partitions(stored, touched, partition), rows, keys, order=(), seen=seen)
         changed = store(changed.select(*stored.columns), "upsert")
     counted_rows = seen.get["rows"]
-    with _dynamic_overwrite(spark):
+    with dynamic_overwrite(spark):
         changed.write.mode("overwrite").insertInto(table)
     left = changed.select(F.col(partition).alias("_left")).distinct()
     emptied = touched.join(left, F.col(partition).eqNullSafe(F.col("_left")), "left_anti")

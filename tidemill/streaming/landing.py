@@ -13,6 +13,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemill.sinks.buckets import upsert_buckets
 from tidemill.sinks.versioned import upsert_table
 
 
@@ -57,16 +58,22 @@ def upsert_new_files(
     keys: Sequence[str],
     order: Sequence[str],
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Upsert everything new into a table by key, and wait for the end.
 
     Every batch becomes the table version named after checkpoint and batch, so a batch that runs
-    again after a failure is recognised and leaves the same table.
+    again after a failure is recognised and leaves the same table. With ``buckets`` the table lies in hash buckets of
+    its keys and a batch rewrites only those it has keys for (read it by ``read_buckets``); a batch that runs again
+    leaves the same rows.
     """
     stream_name = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch) if transform else batch
+        if buckets:
+            upsert_buckets(rows, table, root, keys, buckets, order)
+            return
         upsert_table(rows, table, root, keys, order, version=f"{stream_name}-{batch_id:09d}")
 
     start(stream, checkpoint, on_batch).awaitTermination()
