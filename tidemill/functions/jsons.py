@@ -63,11 +63,16 @@ def checked_number(field: Column, dtype: str, name: str, text: bool = True) -> C
     A whole number written with a fraction fits an integer type, and so does a number in a text unless ``text`` is false.
     """
     number = F.try_variant_get(field, "$", "double")
-    value = number.cast("long").cast(dtype) if dtype == "int" else number.cast(dtype)
-    fits = number.isNotNull() & (number.between(-(2**31), 2**31 - 1) & (F.floor(number) == number) if dtype == "int" else F.lit(True))
-    shown = F.to_json(field)
-    fits = fits & ~shown.isin("true", "false") & ~(_odd_text(shown) if text else shown.startswith('"'))
-    return F.when(field.isNull() | F.is_variant_null(field), F.lit(None)).when(fits, value).otherwise(_not_a(dtype, name, shown)).cast(dtype)
+    value = number.cast("long").cast(dtype) if dtype == "int" else number
+    fits = number.isNotNull()
+    if dtype == "int":
+        fits = fits & (F.floor(number) == number) & number.between(-(2**31), 2**31 - 1)
+    shown, is_text = F.to_json(field), F.try_variant_get(field, "$", "binary").isNotNull()
+    # Numbers take the first branch; a boolean would pass as 0 or 1, and a text as more than a number.
+    plain = fits & ~is_text & ~(number.isin(0.0, 1.0) & shown.isin("true", "false"))
+    empty = field.isNull() | F.is_variant_null(field)
+    written = F.lit(text) & is_text & fits & ~_odd_text(shown)
+    return F.when(plain, value).when(empty, F.lit(None)).when(written, value).otherwise(_not_a(dtype, name, shown)).cast(dtype)
 
 
 def missing_keys(fields: Mapping[str, Column]) -> Column:
