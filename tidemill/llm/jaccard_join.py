@@ -304,14 +304,18 @@ def link_documents(docs: DataFrame, size: int = 3, percent: int = 90, text: str
     pairs = opened.join(y, (F.col("h") == F.col("y.group")) & apart & _close("x", "y", percent))
     pairs = pairs.select(F.col("y.node").alias("a"), F.col("x.node").alias("b"))
     more = _verified(docs, nodes, store(_narrowed(nodes, pairs, percent), "pairs"), size, percent)
-    discard(index, member, groups, met, found)
-    found = connected_components(links.unionByName(more))
-    discard(links, more)
-
-    labelled = nodes.join(found, "node", "left").select("node", "least_id", F.coalesce("component", "node").alias("component"))
+    discard(index, groups, met, found, links)
+
+    # Components that the second links join: only these are contracted again.
+    home = member.select("node", "component")
+    across = more.join(home.toDF("a", "x"), "a").join(home.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    joined = connected_components(across)
+    discard(more)
+    labelled = nodes.select("node", "least_id").join(home, "node").join(joined.toDF("component", "whole"), "component", "left")
+    labelled = labelled.select("node", "least_id", F.coalesce("whole", "component").alias("component"))
     least = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
     labels = store(labelled.join(least, "component").select("node", "component_id", "component"), "labels")
-    discard(nodes, found)
+    discard(nodes, member, joined)
     return sketches.select("doc_id", "key", "n", "node").join(labels, "node", "left").select(
         "doc_id", "key", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "component"
     )
