@@ -206,6 +206,18 @@ def test_votes_against_brute_force(docs, odd, none):
     assert quality_classifier.classify(none, model).count() == 0
 
 
+def test_sample_is_bounded_by_rows_and_ties_go_by_order(spark):
+    hot = spark.range(10000).selectExpr("7L AS doc_id", "concat('row ', id) AS text", "1 AS label")
+    rest = spark.createDataFrame([(1, "a b", 0), (2, "c d", 0), (3, None, 1), (4, "", None), (5, "x", 2)], "doc_id long, text string, label int")
+    model = quality_classifier.fit_classifier(hot.unionByName(rest), sample=10)
+    assert sorted(model.labels.tolist()) == [0.0] * 2 + [1.0] * 10
+    again = quality_classifier.fit_classifier(rest.unionByName(hot).repartition(7), sample=10)
+    assert np.array_equal(model.vectors, again.vectors) and np.array_equal(model.labels, again.labels)
+    vectors = np.eye(2, quality_classifier.WIDTH, dtype=np.float32)[[0, 0, 0, 1]]
+    tied = quality_classifier.Neighbours(np.ones(quality_classifier.WIDTH, np.float32), np.eye(quality_classifier.WIDTH, 2, dtype=np.float32), vectors[:, :2], np.array([1, 0, 0, 1], np.float32))
+    assert tied.vote(vectors[:1], k=2).tolist() == [0.5] and tied.vote(vectors[:1], k=1).tolist() == [1.0]
+
+
 def test_edit_distance_and_pieces_against_brute_force():
     rng = np.random.default_rng(5)
 
@@ -406,6 +418,44 @@ def test_components_of_paths_stars_and_loops(spark):
     assert found == {**dict.fromkeys(range(21), 0), **dict.fromkeys(range(100, 130), 100)}
 
 
+def test_items_that_share_boilerplate_and_repeat(spark):
+    import time
+
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), n)) for n in rng.integers(3, 9, 400)]
+    opening = "answer the following question in one short sentence "
+    bodies = [opening + " ".join(rng.choice(words, 20)) for _ in range(1000)]
+    items = [(i, deco.normalise(b)) for i, b in enumerate(bodies)] + [(1000 + i, deco.normalise(bodies[0])) for i in range(50)]
+    matcher = deco.Matcher(items, deco.PERCENT)
+    text = deco.normalise(" ".join(opening + " ".join(rng.choice(words, 150)) for _ in range(200)) + " " + bodies[0] + " " + bodies[7])
+    began = time.process_time()
+    found = matcher.find(text)
+    assert time.process_time() - began < 20
+    assert set(found) == {0, 7, *range(1000, 1050)} and {d for d, _ in found.values()} == {0} and len({found[i] for i in (0, *range(1000, 1050))}) == 1
+    short = spark.createDataFrame([(1, "a"), (2, "of the many things")], "item_id long, text string")
+    prose = spark.createDataFrame([(1, "a tale of the many things seen")], "doc_id long, text string")
+    assert {r.item_id for r in deco.find_items(prose, short).collect()} == {2}
+    assert {r.item_id for r in deco.find_items(prose, short, least=1).collect()} == {1, 2}
+
+
+def test_cuts_are_decided_by_the_file(tmp_path):
+    import json
+
+    byte, word = tokens.public_path("byte_bpe_50k.json"), tokens.public_path("word_bpe_49k.json")
+    assert tokens.splits_at_blanks(byte) and not tokens.splits_at_blanks(word) and not tokens.splits_at_blanks(tokens.public_path("piece_bpe_32k.model"))
+    spec = json.loads(open(byte, encoding="utf-8").read())
+    spec["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "byte_other.json").write_text(json.dumps(spec), encoding="utf-8")
+    assert not tokens.splits_at_blanks(str(tmp_path / "byte_other.json"))
+
+
+def test_licence_files_are_compared_to_their_end(spark):
+    template = {"X-1": ["every copy of these notes shall be handed on with the green cover and without a price"]}
+    rows = [("d/LICENSE", "some other words come first " * 2000 + template["X-1"][0] + " and so on" * 50), ("d/a.txt", "plain"), ("e/notes.txt", template["X-1"][0])]
+    got = {r.path: (r.license, r.how) for r in licences.scan_licences(spark.createDataFrame(rows, "path string, text string"), templates=template).collect()}
+    assert got == {"d/LICENSE": ("X-1", "file"), "d/a.txt": ("X-1", "inherited"), "e/notes.txt": (None, "none")}
+
+
 def test_licences_and_directories(spark, odd, none):
     rows = [
         ("p/LICENSE", "MIT License\n\n" + licences.TEMPLATES["MIT"][3]), ("p/a.txt", "no words about it"), ("p/q/b.txt", "x\nLicensed under the Apache License, Version 2.0.\ny"),

@@ -2,7 +2,8 @@
 
 An item of ``n`` characters may be found with up to ``budget(n)`` edits. Cut into one piece more than that, at least
 one piece must occur unchanged wherever the item does. All pieces of a block of items are searched at once (an
-automaton over each text), and the surroundings of a piece are verified by Myers' bit-parallel edit distance.
+automaton over each text), and the surroundings of a piece are verified by Myers' bit-parallel edit distance, where
+enough short grams of the item occur. Items of one text are looked for once, and surroundings that overlap are read once.
 
 Items come in blocks of at most ``BLOCK`` characters, each broadcast by itself, so a benchmark of any size passes.
 """
@@ -19,6 +20,10 @@ from pyspark.sql import functions as F
 #: Edits allowed, of a hundred characters of the normalised item.
 PERCENT = 6
 BLOCK = 4 << 20
+#: Items of fewer characters, normalised, are not looked for: they allow no edit and occur in ordinary prose.
+LEAST = 17
+GRAM = 4
+SPAN = 512
 
 _PLAIN = bytes(b if chr(b).isalnum() and b < 128 else 32 for b in range(128)) + bytes(range(128, 256))
 
@@ -68,7 +73,10 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], percent: int):
         import ahocorasick
 
-        self.items = [(i, text, budget(len(text), percent)) for i, text in items]
+        named: dict[str, list[int]] = {}
+        for i, text in items:
+            named.setdefault(text, []).append(i)
+        self.items = [(ids, text, budget(len(text), percent)) for text, ids in named.items()]
         found: dict[str, list[tuple[int, int]]] = {}
         for number, (_, text, edits) in enumerate(self.items):
             for at, piece in pieces(text, edits):
@@ -80,55 +88,103 @@ class Matcher:
 
     def find(self, text: str, first: bool = False) -> dict[int, tuple[int, int]]:
         """For each item found: least distance and the end of that place. With ``first``, any one item is enough."""
-        best: dict[int, tuple[int, int]] = {}
         tried: dict[int, set[int]] = {}
+        likely: dict[int, list[int]] = {}
+        grams = Grams(text)
         for end, (length, uses) in self.search.iter(text):
             for number, at in uses:
-                item, wanted, edits = self.items[number]
-                begin = end + 1 - length - at
-                step = edits + 1
+                _, wanted, edits = self.items[number]
+                slot = (end + 1 - length - at) // (edits + 1)
                 done = tried.setdefault(number, set())
-                if begin // step in done:  # its surroundings were looked at
-                    continue
-                done.add(begin // step)
-                low = max(0, begin // step * step - edits)
-                distance, place = best_match(wanted, text[low : begin // step * step + step + len(wanted) + edits])
-                if distance <= edits and (item not in best or (distance, low + place) < best[item]):
-                    best[item] = (distance, low + place)
+                if slot not in done:
+                    done.add(slot)
+                    if grams.allow(wanted, edits, *_around(slot, slot, wanted, edits)):
+                        likely.setdefault(number, []).append(slot)
+        best: dict[int, tuple[int, int]] = {}
+        for number, slots in likely.items():
+            ids, wanted, edits = self.items[number]
+            places = []
+            for low, high in _stretches(sorted(slots), wanted, edits):
+                distance, place = best_match(wanted, text[low:high])
+                if distance <= edits:
+                    places.append((distance, low + place))
                     if first:
-                        return best
+                        break
+            if places:
+                best.update(dict.fromkeys(ids, min(places)))
+                if first:
+                    break
         return best
 
 
+def _around(start: int, stop: int, wanted: str, edits: int) -> tuple[int, int]:
+    """Where an item that begins in one of these slots of ``edits + 1`` characters can lie."""
+    return max(0, start * (edits + 1) - edits), max(0, (stop + 1) * (edits + 1) + len(wanted) + edits)
+
+
+def _stretches(slots: list[int], wanted: str, edits: int) -> Iterator[tuple[int, int]]:
+    """The surroundings of sorted slots, those that overlap as one."""
+    start = stop = slots[0]
+    for slot in [*slots[1:], None]:
+        if slot is not None and _around(slot, slot, wanted, edits)[0] <= _around(start, stop, wanted, edits)[1]:
+            stop = slot
+            continue
+        yield _around(start, stop, wanted, edits)
+        start = stop = slot
+
+
+class Grams:
+    """Short grams of a text by stretches of ``SPAN`` characters, for a test that never refuses a match.
+
+    An item is cut into grams that do not overlap, so each edit spoils at most one of them; all others occur unchanged
+    where the item does.
+    """
+
+    def __init__(self, text: str):
+        self.text = text
+        self.known: dict[tuple[int, int], set[str]] = {}
+
+    def allow(self, wanted: str, edits: int, low: int, high: int) -> bool:
+        key = low // SPAN, (high - 1) // SPAN + 1
+        here = self.known.get(key)
+        if here is None:
+            if len(self.known) >= 16:
+                self.known.clear()
+            stop = min(key[1] * SPAN, len(self.text))
+            here = self.known[key] = {self.text[i : i + GRAM] for i in range(key[0] * SPAN, stop)}
+        places = range(0, len(wanted) - GRAM + 1, GRAM)
+        return sum(wanted[i : i + GRAM] in here for i in places) >= len(places) - edits
+
+
 @lru_cache(maxsize=2)
 def _matcher(items: tuple[tuple[int, str], ...], percent: int) -> Matcher:
     return Matcher(list(items), percent)
 
 
-def _item_blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[tuple[tuple[int, str], ...]]:
-    """The normalised items in blocks of bounded size; those without a letter or digit, or without id, cannot be found."""
+def _item_blocks(benchmark: DataFrame, item: str, text: str, least: int) -> Iterator[tuple[tuple[int, str], ...]]:
+    """The normalised items in blocks of bounded size; those of fewer than ``least`` characters, or without id, are not looked for."""
     rows = benchmark.select(F.col(item).cast("long").alias("i"), F.col(text).alias("t")).filter("i IS NOT NULL AND t IS NOT NULL")
     total = rows.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK))
     for k in range(blocks):
         some = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).distinct().collect()
-        found = tuple(sorted((i, n) for i, t in some if len(n := normalise(t)) > 2))
+        found = tuple(sorted((i, n) for i, t in some if len(n := normalise(t)) - 2 >= max(least, 1)))
         if found:
             yield found
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
+def find_items(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, text: str = "text", item: str = "item_id", item_text: str = "text", least: int = LEAST) -> DataFrame:
     """One row per document row and item found in it: ``doc_id``, ``item_id``, ``distance`` (edits), ``place`` (where it ends
     in the normalised text).
 
     Texts and items are compared as lower-case words with single blanks. An item is found where its edit distance to
-    a part of the text is at most ``percent`` of its length. Null or empty texts hold no item, an item without words is
-    in no text, an empty table on either side gives an empty one. Null and repeated ids stay; other columns are not read.
+    a part of the text is at most ``percent`` of its length. Items of fewer than ``least`` characters are not looked for.
+    Null or empty texts hold no item, an item without words is in no text, an empty table on either side gives an empty one. Null and repeated ids stay; other columns are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, item_id long, distance int, place long"
     spark, out = docs.sparkSession, None
-    for block in _item_blocks(benchmark, item, item_text):
+    for block in _item_blocks(benchmark, item, item_text, least):
         shared = spark.sparkContext.broadcast(block)
 
         def match(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -147,11 +203,11 @@ def find_items(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, te
     return out if out is not None else spark.createDataFrame([], schema)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The documents that hold no item, unchanged. One pass for each block of items, no shuffle."""
+def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT, text: str = "text", item: str = "item_id", item_text: str = "text", least: int = LEAST) -> DataFrame:
+    """The documents that hold no item of at least ``least`` characters, unchanged. One pass for each block of items, no shuffle."""
     names = docs.columns
     docs = docs.toDF(*[f"_c{i}" for i in range(len(names))])
-    for block in _item_blocks(benchmark, item, item_text):
+    for block in _item_blocks(benchmark, item, item_text, least):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared, at=names.index(text)) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,7 @@
 """License scans: sparse TF-IDF cosine of headers and licence files to templates, then inheritance by directory.
 
 A passage is any run of words with a cue, across line ends, up to the size of the longest template (24 words at least),
-or the head of a licence file. Its words and word pairs are weighted by their rarity among the templates; unknown ones weigh as the rarest, so prose
+or, in a licence file, any window of a template's length, half overlapping the next. Its words and word pairs are weighted by their rarity among the templates; unknown ones weigh as the rarest, so prose
 that only mentions a licence stays far from all templates. A file without a header of its own takes the licence of
 the licence file in the nearest directory above it.
 """
@@ -24,7 +24,6 @@ from pyspark.sql import types as T
 from tidemill.sinks.layers import store
 
 THRESHOLD = 0.55
-HEAD = 200  # words of a licence file that are compared
 AROUND = 24
 
 #: Usual statements and first sentences of common licences (fixed values).
@@ -92,7 +91,8 @@ class Templates:
     def __init__(self, templates: dict[str, list[str]]):
         given = [(name, words_of(text)) for name, texts in sorted(templates.items()) for text in texts]
         bags = [(name, terms(words)) for name, words in given]
-        self.reach = max([AROUND, *(len(words) for _, words in given)])
+        self.sizes = sorted({max(1, len(words)) for _, words in given})
+        self.reach = max([AROUND, *self.sizes])
         used = Counter(t for _, bag in bags for t in bag)
         self.weight = {t: math.log((1 + len(bags)) / (1 + n)) + 1 for t, n in used.items()}
         self.unknown = math.log(1 + len(bags)) + 1
@@ -117,6 +117,14 @@ class Templates:
         top = max(near, key=lambda i: (round(near[i], 9), -i))
         return min(near[top], 1.0), self.names[top]
 
+    def best_window(self, words: list[str]) -> tuple[float, str]:
+        """The best of all windows of a template's length, each half overlapping the next, from the first word to the last."""
+        found = (0.0, "")
+        for size in self.sizes:
+            step = max(1, size // 2)
+            for start in range(0, max(1, len(words) - size + step), step):
+                found = max(found, self.best(words[start : start + size]), key=lambda x: x[0])
+        return found
 
     def nearest(self, words: list[str]) -> list[str]:
         """The run of up to ``reach`` words with a cue that comes nearest to a template; none without a cue.
@@ -163,7 +171,7 @@ def scan_licences(docs: DataFrame, path: str = "path", text: str = "text", templ
     """Add ``license``, ``similarity``, ``how`` (``header``, ``file``, ``inherited`` or ``none``) and ``from_dir`` to each row.
 
     ``header``: the best passage of the text, of all there are, comes within ``threshold`` of a template. ``file``: the row is a licence
-    file by name, compared as a whole; it speaks for its directory. Rows without either inherit from the nearest
+    file by name, and its windows are compared too, from its first word to its last; it speaks for its directory. Rows without either inherit from the nearest
     directory at or above their own that has a licence file (of several, the least name); ``from_dir`` is that
     directory. Null or empty texts have no header; a null path has no directory and inherits nothing. Repeated rows
     stay. Columns with the new names are replaced. An empty table gives an empty one.
@@ -186,8 +194,10 @@ def scan_licences(docs: DataFrame, path: str = "path", text: str = "text", templ
                 best = (0.0, "")
                 if file or cued[i]:
                     body = texts[i].as_py()
-                    tried = [words_of(" ".join(body.split()[:HEAD]))] if file else []
-                    best = max((shared.value.best(p) for p in [*tried, shared.value.nearest(words_of(body))]), key=lambda x: x[0])
+                    words = words_of(body)
+                    best = shared.value.best(shared.value.nearest(words))
+                    if file:
+                        best = max(best, shared.value.best_window(words), key=lambda x: x[0])
                 found.append((best[1] if best[0] >= threshold else None, best[0], file))
             license, similarity, file = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,29 +93,40 @@ class Neighbours:
         return (vectors / np.where(norm > 0, norm, 1)).astype(np.float32)
 
     def vote(self, counts: np.ndarray, k: int = NEIGHBOURS) -> np.ndarray:
-        """The similarity-weighted share of label 1 among the k nearest; without any similar one, the share of all."""
+        """The similarity-weighted share of label 1 among the k nearest; without any similar one, the share of all.
+
+        Of neighbours that are equally near, those first in the sample's order count.
+        """
         if not len(self.labels):
             return np.full(len(counts), 0.5)
         near = self.embed(counts) @ self.vectors.T
         k = min(k, len(self.labels))
-        top = np.argpartition(near, -k, axis=1)[:, -k:]
-        weight = np.maximum(np.take_along_axis(near, top, axis=1), 0.0).astype(np.float64)
+        last = np.partition(near, -k, axis=1)[:, [-k]]
+        above, equal = near > last, near == last
+        chosen = above | (equal & (np.cumsum(equal, axis=1, dtype=np.int32) <= k - above.sum(axis=1, keepdims=True)))
+        weight = np.where(chosen, np.maximum(near, 0.0), 0.0).astype(np.float64)
         total = weight.sum(axis=1)
-        voted = (weight * self.labels[top]).sum(axis=1)
+        voted = weight @ self.labels
         return np.clip(np.where(total > 0, voted / np.where(total > 0, total, 1), self.labels.mean()), 0, 1)
 
 
 def fit_classifier(labelled: DataFrame, text: str = "text", label: str = "label", sample: int = SAMPLE) -> Neighbours:
-    """From at most ``sample`` rows of each label (0 and 1) of ``labelled``, those with the least hash of their ``doc_id``."""
+    """From at most ``sample`` rows of each label (0 and 1) of ``labelled``, those with the least hash of their ``doc_id``.
+
+    The bound is on rows, so an id that repeats does not widen the sample: of its rows those with the least hash of the
+    text come first. Rows of other labels are left out, null and empty texts have no terms.
+    """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = batch.column("label").to_pylist()
             rows = [row.astype(np.uint16 if row.max(initial=0) < 65536 else np.float32).astype("<f4").tobytes() for block in term_counts(batch.column("text")) for row in block]
-            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(rows, pa.binary())], names=["label", "terms"])
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("place"), pa.array(rows, pa.binary())], names=["label", "place", "terms"])
 
-    rows = labelled.select(F.col("doc_id"), F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-    found = rows.drop("doc_id").mapInArrow(counted, "label int, terms binary").toArrow()
+    rows = labelled.select("doc_id", F.col(text).alias("text"), F.col(label).cast("int").alias("label")).filter("label IN (0, 1)")
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text")
+    rows = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample)
+    found = rows.select("label", "place", "text").mapInArrow(counted, "label int, place int, terms binary").toArrow()
+    found = found.sort_by([("label", "ascending"), ("place", "ascending")])
     terms = np.frombuffer(b"".join(found.column("terms").to_pylist()), "<f4").reshape(-1, WIDTH)
     labels = found.column("label").to_numpy().astype(np.float32)
     if not len(labels):

@@ -83,8 +83,29 @@ def encoder(path: str) -> Callable[[list[str]], list[np.ndarray]]:
     return lambda texts: [np.array(x.ids, dtype=np.uint32) for x in own.encode_batch(texts, add_special_tokens=False)]
 
 
+@lru_cache(maxsize=4)
+def splits_at_blanks(path: str) -> bool:
+    """Whether a file surely gives the same ids when a text is cut before a blank between two letters or digits.
+
+    So do byte-level files that split texts by their own pattern, add no blank before a text, change no characters
+    and have no added token with a blank in it. Texts of all other files are encoded whole.
+    """
+    if not path.endswith(".json"):
+        return False
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    before = spec.get("pre_tokenizer") or {}
+    return (
+        spec.get("normalizer") is None
+        and before.get("type") == "ByteLevel"
+        and before.get("use_regex", True)
+        and not before.get("add_prefix_space")
+        and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"])
+    )
+
+
 def cut_safely(text: str, size: int = LONG) -> list[str]:
-    """Parts of about ``size`` characters whose ids joined are the ids of the text (byte-level files only)."""
+    """Parts of about ``size`` characters whose ids joined are the ids of the text (see ``splits_at_blanks``)."""
     parts, start = [], 0
     while len(text) - start > size:
         at = SAFE.search(text, start + size)
@@ -97,9 +118,8 @@ def cut_safely(text: str, size: int = LONG) -> list[str]:
 
 def encode(texts: list[str | None], path: str) -> list[list[np.ndarray]]:
     """The ids of each text, as the parts of a long one (nulls count as empty)."""
-    splits = path.endswith(".json") and "byte" in path.rsplit("/", 1)[-1]
     out = []
     for text in texts:
         text = text or ""
-        out.append(encoder(path)(cut_safely(text) if splits and len(text) > LONG else [text]))
+        out.append(encoder(path)(cut_safely(text) if len(text) > LONG and splits_at_blanks(path) else [text]))
     return out
