@@ -219,3 +219,17 @@ def test_numbers_of_another_kind_fail_and_are_never_lost(rows):
             glucose.entries(rows([('{"_id":"a",' + bad + "}",)], "raw string")).collect()
     pump = glucose.device_status(rows([('{"_id":"a","pump":{"reservoir":"12.5"}}',)], "raw string")).first().pump
     assert pump.reservoir == 12.5
+
+
+def test_variant_copies_and_unions(spark):
+    from tidemill.functions.jsons import row_as_variant, variant_columns
+    from tidemill.operators.rows import union_all
+
+    frame = spark.sql("SELECT 1L AS id, 'x' AS `a b`, CAST(NULL AS DOUBLE) AS v UNION ALL SELECT NULL, '', 2.5D")
+    copies = row_as_variant(frame).select("raw_data")
+    got = {tuple(r) for r in variant_columns(copies, "id bigint, `a b` string, v double, other int").collect()}
+    assert got == {(1, "x", None, None), (None, "", 2.5, None)}
+    both = union_all(frame, frame.select("id"), frame.limit(0))
+    assert both.columns == ["id", "a b", "v"] and both.count() == 4
+    with pytest.raises(ValueError):
+        union_all()

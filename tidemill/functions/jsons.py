@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.numbers import looks_numeric
 
@@ -108,3 +109,15 @@ def row_as_json(df: DataFrame, column: str = "raw_data") -> DataFrame:
     """Add a JSON copy of the whole row, nulls kept."""
     row = F.struct(*[F.col(c) for c in df.columns])
     return df.withColumn(column, F.to_json(row, {"ignoreNullFields": "false"}))
+
+
+def row_as_variant(df: DataFrame, column: str = "raw_data") -> DataFrame:
+    """Add a VARIANT copy of the whole row: members keep their types and are read by path; a null member is a JSON null."""
+    return df.withColumn(column, F.to_variant_object(F.struct(*[F.col(c) for c in df.columns])))
+
+
+def variant_columns(df: DataFrame, schema: str, column: str = "raw_data") -> DataFrame:
+    """The members of a VARIANT column as columns of ``schema``; absent and null members are null, others must fit."""
+    fields = T.StructType.fromDDL(schema)
+    paths = [f"$['{f.name}']" for f in fields]
+    return df.select(*[F.variant_get(column, p, f.dataType.simpleString()).alias(f.name) for p, f in zip(paths, fields)])

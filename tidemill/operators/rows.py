@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -98,3 +99,13 @@ def kept_and_dropped(before: DataFrame, after: DataFrame) -> DataFrame:
     )
     total = counts.agg(F.sum("before").alias("before"), F.sum("kept").alias("kept"))
     return total.withColumn("dropped", F.col("before") - F.col("kept"))
+
+
+def union_all(*frames: DataFrame) -> DataFrame:
+    """The rows of all frames, repeats kept, by column name; a column that a frame lacks is null there.
+
+    Columns come in the order in which they are first seen. No shuffle.
+    """
+    if not frames:
+        raise ValueError("union_all takes at least one frame")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
