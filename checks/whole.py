@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from checks import glucose as sets
 from checks.feeds import query, table
 from checks.movement import fresh, scratch_schema
 from tidemill.functions.jsons import row_as_variant, variant_columns
-from tidemill.operators.rows import union_all
+from tidemill.operators.rows import SEQ, union_all
 from tidemill.plans import flow, forge, glucose
 from tidemill.sinks import files as file_sinks
 from tidemill.sinks import tables as table_sinks
+from tidemill.sources import landed
+from tidemill.sources.pages import read_json_pages
 from tidemill.sources.raw_layer import load_raw
 from tidemill.sources.tables import read_source, read_table
 
@@ -136,6 +139,31 @@ def configured_load(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, name)
 
 
+def _documents(spark: SparkSession, folder: str, opening: str, closing: str) -> str:
+    """All orders in 16 JSON documents, each one array in one file, with brackets and quotes inside texts."""
+    path, bucket = fresh(spark, "documents"), Window.partitionBy("bucket").orderBy("o_orderkey")
+    text = F.to_json(F.struct("o_orderkey", "o_custkey", "o_totalprice", F.concat(F.lit('{"'), "o_orderpriority", F.lit('"]}\\')).alias("note")))
+    first, last = F.row_number().over(bucket) == 1, F.lead("o_orderkey").over(bucket).isNull()
+    lines = table(spark, folder, "orders").withColumn("bucket", F.pmod("o_custkey", F.lit(16))).select(
+        F.concat(F.when(first, F.lit(opening)).otherwise(F.lit(",")), text, F.when(last, F.lit(closing)).otherwise(F.lit(""))), "bucket"
+    )
+    lines.write.partitionBy("bucket").text(path)
+    return path
+
+
+DOCUMENT = "o_orderkey bigint, o_custkey bigint, o_totalprice double, note string"
+
+
+def split_json_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    return read_json_pages(spark, _documents(spark, folder, "[", "]"), DOCUMENT).drop(SEQ)
+
+
+def split_json_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """The same under a member of an object that has other members around it."""
+    path = _documents(spark, folder, '{"page": {"orders": [{"no": 1}]}, "orders" : [', '], "next": {"token": "}"}}')
+    return landed.read_envelope(spark, path, "orders", DOCUMENT, split=True).drop(SEQ)
+
+
 QUERIES = {
     "variant_copy": variant_copy,
     "union_accounts": union_accounts,
@@ -147,8 +175,12 @@ QUERIES = {
     "raw_layer": raw_layer,
     "ns_record_sets_load": record_sets_load,
     "configured_load": configured_load,
+    "split_json_arrays": split_json_arrays,
+    "split_json_envelopes": split_json_envelopes,
 }
 
+_NOTED = """SELECT o_orderkey, o_custkey, o_totalprice, '{"' || o_orderpriority || '"]}\\' AS note FROM orders"""
+
 ORACLES = {
     "variant_copy": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "union_accounts": """
@@ -187,4 +219,6 @@ ORACLES = {
         SELECT * EXCLUDE (o_orderkey, o_totalprice), o_orderkey AS order_id, o_totalprice AS total
         FROM orders WHERE o_orderstatus = 'O'
     """,
+    "split_json_arrays": _NOTED,
+    "split_json_envelopes": _NOTED,
 }

@@ -92,6 +92,8 @@ def test_records_from_files(spark, folder):
         json.dump(TICKET | {"id": 3, "body": None}, f)
     rows = forge.transform(forge.read_records(spark, folder, "issues"), "issues").orderBy("id").collect()
     assert [(r.id, r.body) for r in rows] == [(1, ""), (2, ""), (3, None)]
+    split = forge.transform(forge.read_records(spark, folder, "issues", split=True), "issues").orderBy("id").collect()
+    assert split == rows
 
 
 def test_treatments_by_type(texts):

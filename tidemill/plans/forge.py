@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.dates import parse_timestamp, timestamp_column
 from tidemill.functions.jsons import default_if_absent, parse_records, present, require_keys, without_keys
+from tidemill.operators.rows import SEQ
 from tidemill.sources.files import read_json_documents
+from tidemill.sources.pages import read_json_pages
 
 _LINKED = "id variant, number variant, title variant, state variant, url variant, html_url variant"
 _TIMES = "created_at variant, updated_at variant"
@@ -56,8 +58,10 @@ REQUIRED = {
 }
 
 
-def read_records(spark: SparkSession, path: str | list[str], endpoint: str) -> DataFrame:
-    """Records of JSON files that hold one object or an array of objects."""
+def read_records(spark: SparkSession, path: str | list[str], endpoint: str, split: bool = False) -> DataFrame:
+    """Records of JSON files that hold one object or an array of objects; with ``split``, big files by many tasks."""
+    if split:
+        return read_json_pages(spark, path, SCHEMAS[endpoint]).drop(SEQ)
     return read_json_documents(spark, path, SCHEMAS.get(endpoint))
 
 

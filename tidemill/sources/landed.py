@@ -12,19 +12,25 @@ from tidemill.errors import FormatError
 from tidemill.functions.dates import instant, parse_timestamp, timestamp_column, to_instant
 from tidemill.operators.rows import SEQ, add_if_absent
 from tidemill.sources.files import read_json_documents, read_json_lines, with_ingest_order
+from tidemill.sources.pages import read_json_pages
 
 ENVELOPES = ("customers", "orders", "products")
 
 
 def read_envelope(
-    spark: SparkSession, path: str | list[str], key: str, schema: str | None = None, lines: bool = False
+    spark: SparkSession, path: str | list[str], key: str, schema: str | None = None, lines: bool = False, split: bool = False
 ) -> DataFrame:
     """Rows of ``{key: [...]}`` documents, one document per response page.
 
     A file holds one page, or with ``lines`` one page per line, which Spark can split. ``_seq`` keeps
     the position: file, page, then place in the array. A document without the key fails the read, at
-    planning time when no file has it and at run time otherwise.
+    planning time when no file has it and at run time otherwise. With ``split``, which needs a schema, one page
+    of any size is read by many tasks (``read_json_pages``).
     """
+    if split:
+        if schema is None or lines:
+            raise ValueError("a split read needs a schema, and a page a file")
+        return read_json_pages(spark, path, schema, key)
     read = read_json_lines if lines else read_json_documents
     documents = read(spark, path, f"`{key}` array<struct<{schema}>>" if schema else None)
     if key not in documents.columns or not isinstance(documents.schema[key].dataType, T.ArrayType):
