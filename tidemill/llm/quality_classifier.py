@@ -8,6 +8,7 @@ of them by exact blocked cosine products.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -71,9 +72,11 @@ class Neighbours:
 
     @staticmethod
     def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-        weighted = np.log1p(counts) * idf
+        weighted = np.log1p(counts)
+        weighted *= idf
         norm = np.linalg.norm(weighted, axis=1, keepdims=True)
-        return weighted / np.where(norm > 0, norm, 1)
+        weighted /= np.where(norm > 0, norm, 1)
+        return weighted
 
     @classmethod
     def fit(cls, counts: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Neighbours:
@@ -83,12 +86,13 @@ class Neighbours:
         top = np.argsort(values)[::-1][:rank]
         top = top[values[top] > 1e-6]
         projection = (weighted.T @ left[:, top] / np.sqrt(values[top])).astype(np.float32)
-        model = cls(idf, projection, np.zeros((0, len(top)), np.float32), labels.astype(np.float32))
-        model.vectors = model.embed(counts)
-        return model
+        return cls(idf, projection, cls.unit(weighted @ projection), labels.astype(np.float32))
 
     def embed(self, counts: np.ndarray) -> np.ndarray:
-        vectors = self.weigh(counts, self.idf) @ self.projection
+        return self.unit(self.weigh(counts, self.idf) @ self.projection)
+
+    @staticmethod
+    def unit(vectors: np.ndarray) -> np.ndarray:
         norm = np.linalg.norm(vectors, axis=1, keepdims=True)
         return (vectors / np.where(norm > 0, norm, 1)).astype(np.float32)
 
@@ -119,7 +123,7 @@ def fit_classifier(labelled: DataFrame, text: str = "text", label: str = "label"
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [row.astype(np.uint16 if row.max(initial=0) < 65536 else np.float32).astype("<f4").tobytes() for block in term_counts(batch.column("text")) for row in block]
+            rows = [zlib.compress(row.astype("<f4").tobytes(), 1) for block in term_counts(batch.column("text")) for row in block]
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("place"), pa.array(rows, pa.binary())], names=["label", "place", "terms"])
 
     rows = labelled.select("doc_id", F.col(text).alias("text"), F.col(label).cast("int").alias("label")).filter("label IN (0, 1)")
@@ -127,7 +131,9 @@ def fit_classifier(labelled: DataFrame, text: str = "text", label: str = "label"
     rows = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample)
     found = rows.select("label", "place", "text").mapInArrow(counted, "label int, place int, terms binary").toArrow()
     found = found.sort_by([("label", "ascending"), ("place", "ascending")])
-    terms = np.frombuffer(b"".join(found.column("terms").to_pylist()), "<f4").reshape(-1, WIDTH)
+    terms = np.empty((len(found), WIDTH), np.float32)
+    for i, row in enumerate(found.column("terms")):
+        terms[i] = np.frombuffer(zlib.decompress(row.as_py()), "<f4")
     labels = found.column("label").to_numpy().astype(np.float32)
     if not len(labels):
         return Neighbours(np.ones(WIDTH, np.float32), np.zeros((WIDTH, 0), np.float32), np.zeros((0, 0), np.float32), labels)
