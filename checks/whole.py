@@ -15,6 +15,7 @@ from tidemill.plans import flow, forge, glucose
 from tidemill.sinks import files as file_sinks
 from tidemill.sinks import tables as table_sinks
 from tidemill.sources import landed
+from tidemill.sources.files import spread
 from tidemill.sources.pages import read_json_pages
 from tidemill.sources.raw_layer import load_raw
 from tidemill.sources.tables import read_source, read_table
@@ -80,7 +81,7 @@ def json_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_custkey").alias("id"), F.col("c_name").alias("login"), F.concat(F.lit("u/"), "c_nationkey").alias("url"), F.concat(F.lit("h/"), "c_custkey").alias("html_url"),
     )
     _pages(users, "id", None, arrays)
-    one = table(spark, folder, "supplier").select((-F.col("s_suppkey")).alias("id"), F.col("s_name").alias("login"), F.lit("u").alias("url"), F.lit("h").alias("html_url"))
+    one = spread(table(spark, folder, "supplier")).select((-F.col("s_suppkey")).alias("id"), F.col("s_name").alias("login"), F.lit("u").alias("url"), F.lit("h").alias("html_url"))
     one.write.option("maxRecordsPerFile", 1).json(objects)
     read = [forge.read_records(spark, path, "users") for path in (arrays, objects)]
     return union_all(*[df.select(F.col("id").cast("bigint"), *[F.col(c).cast("string") for c in ("login", "url", "html_url")]) for df in read])
