@@ -1,10 +1,12 @@
 """Work that must be dealt over tasks, and memory that must not follow the input."""
 
+import json
 import os
 import re
 
 from checks import whole
 from tidemill.session import work_folder
+from tidemill.sources import files
 
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int"
 SUPPLIER = "s_suppkey bigint, s_name string"
@@ -15,6 +17,19 @@ def given(rows, folder, name, data, schema):
     rows(data, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
 
 
+def tasks_of(spark, run):
+    """The tasks of each stage of all jobs that a call starts."""
+    context, group = spark.sparkContext, f"tasks-{id(run)}"
+    context.setJobGroup(group, group)
+    try:
+        result = run()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [stage for job in tracker.getJobIdsForGroup(group) for stage in tracker.getJobInfo(job).stageIds]
+    return result, [tracker.getStageInfo(stage).numTasks for stage in stages if tracker.getStageInfo(stage)]
+
+
 def test_single_objects_are_written_by_many_tasks(spark, rows, folder):
     given(rows, folder, "customer", [(1, "a", 2), (2001, "b", None)], CUSTOMER)
     given(rows, folder, "supplier", [(n, f"s{n}") for n in range(1, 41)], SUPPLIER)
@@ -24,3 +39,15 @@ def test_single_objects_are_written_by_many_tasks(spark, rows, folder):
     made = [f for f in os.listdir(work_folder(spark)) if f.startswith("objects-") and f not in old]
     parts = [re.match(r"part-(\d+)", f)[1] for f in os.listdir(f"{work_folder(spark)}/{made[0]}") if f.startswith("part-")]
     assert len(parts) == 40 and len(set(parts)) > 1
+
+
+def test_the_schema_of_many_documents_is_found_by_many_tasks(spark, folder):
+    values = [{"rows": [{"a": n, "b": "x"}]} for n in range(40)] + [{"rows": [{"a": 1.5, "c": {"d": None}}]}, {"rows": []}, [{"e": True}]]
+    for n, value in enumerate(values):
+        with open(f"{folder}/{n}.json", "w", encoding=("utf-8", "utf-8-sig", "utf-16-le")[n % 3]) as out:
+            json.dump(value, out, indent=n % 2)
+    open(f"{folder}/empty.json", "w").close()
+    read, tasks = tasks_of(spark, lambda: files.read_json_documents(spark, folder))
+    assert read.schema == spark.read.option("multiLine", True).json(folder).schema
+    assert max(tasks) > 1
+    assert sorted(r.a for row in read.collect() for r in row.rows or []) == [0, 1, 1.5, *range(2, 40)]

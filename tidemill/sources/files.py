@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from typing import Any
 
@@ -124,9 +125,22 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_json_documents(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
     """Files that hold one JSON value each: an object is one row, an array of objects one row per element."""
     reader = spark.read.option("multiLine", True)
+    schema = schema or infer_documents(spark, path)
     return _load(reader.schema(schema) if schema else reader, "json", path)
 
 
+def infer_documents(spark: SparkSession, path: str | list[str]) -> T.StructType | None:
+    """The schema of all files that hold one JSON value each, by Spark's own rules; None without any field.
+
+    Spark's multi-line reader would look for it in tasks of 128 MB, however many small files that is. The text
+    reader counts what it costs to open a file, so many files are many tasks.
+    """
+    files = _load(spark.read.option("wholetext", True), "text", path).select(F.col("value").cast("binary"))
+    texts = files.rdd.map(lambda file: file[0].decode(json.detect_encoding(file[0]), "replace"))
+    schema = spark.read.json(texts).schema
+    return schema if schema.fields else None
+
+
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: str | None = None) -> DataFrame:
     return _load(spark.read.schema(schema) if schema else spark.read, "json", path)
 
