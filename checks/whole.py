@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from checks import glucose as sets
 from checks.feeds import query, table
@@ -141,14 +144,24 @@ def configured_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str, opening: str, closing: str) -> str:
-    """All orders in 16 JSON documents, each one array in one file, with brackets and quotes inside texts."""
-    path, bucket = fresh(spark, "documents"), Window.partitionBy("bucket").orderBy("o_orderkey")
+    """All orders in 16 JSON documents, each one array in one file, with brackets and quotes inside texts.
+
+    Orders without a customer are one more document. A task writes a document as its rows come, without sorting them.
+    """
+
+    def framed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty = True
+        for texts in (batch.column(0) for batch in batches if batch.num_rows):
+            marks = pa.array([opening if empty else ",", *[","] * (len(texts) - 1)])
+            yield pa.record_batch([pc.binary_join_element_wise(marks, texts, "")], ["value"])
+            empty = False
+        if not empty:
+            yield pa.record_batch([pa.array([closing])], ["value"])
+
+    path = fresh(spark, "documents")
     text = F.to_json(F.struct("o_orderkey", "o_custkey", "o_totalprice", F.concat(F.lit('{"'), "o_orderpriority", F.lit('"]}\\')).alias("note")))
-    first, last = F.row_number().over(bucket) == 1, F.lead("o_orderkey").over(bucket).isNull()
-    lines = table(spark, folder, "orders").withColumn("bucket", F.pmod("o_custkey", F.lit(16))).select(
-        F.concat(F.when(first, F.lit(opening)).otherwise(F.lit(",")), text, F.when(last, F.lit(closing)).otherwise(F.lit(""))), "bucket"
-    )
-    lines.write.partitionBy("bucket").text(path)
+    lines = table(spark, folder, "orders").select(text.alias("value"), F.coalesce(F.pmod("o_custkey", F.lit(16)), F.lit(16)).cast("int").alias("bucket"))
+    lines.repartitionById(17, "bucket").select("value").mapInArrow(framed, "value string").write.text(path)
     return path
 
 

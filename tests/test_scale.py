@@ -3,10 +3,13 @@
 import json
 import os
 import re
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from checks import whole
 from tidemill.session import work_folder
-from tidemill.sources import files
+from tidemill.sources import files, pages
 
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int"
 SUPPLIER = "s_suppkey bigint, s_name string"
@@ -51,3 +54,13 @@ def test_the_schema_of_many_documents_is_found_by_many_tasks(spark, folder):
     assert read.schema == spark.read.option("multiLine", True).json(folder).schema
     assert max(tasks) > 1
     assert sorted(r.a for row in read.collect() for r in row.rows or []) == [0, 1, 1.5, *range(2, 40)]
+
+
+def test_one_block_of_a_document_is_many_runs(spark, folder, monkeypatch):
+    monkeypatch.setattr(pages, "RUN_BITS", 6, raising=False)
+    with open(f"{folder}/one.json", "w") as out:
+        json.dump([{"id": n, "v": "]}"} for n in range(4000)], out)
+    read = pages.read_json_pages(spark, f"{folder}/one.json", "id int, v string").select("id", F.spark_partition_id().alias("part"), "_seq")
+    found = read.orderBy("_seq").collect()
+    assert [r.id for r in found] == list(range(4000))
+    assert max(Counter(r.part for r in found).values()) < 3000
