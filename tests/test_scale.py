@@ -5,10 +5,14 @@ import os
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from checks import whole
+from tidemill.errors import QualityError
+from tidemill.plans import glucose
 from tidemill.session import work_folder
+from tidemill.sinks.versioned import upsert_table
 from tidemill.sources import files, pages
 
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int"
@@ -64,3 +68,26 @@ def test_one_block_of_a_document_is_many_runs(spark, folder, monkeypatch):
     found = read.orderBy("_seq").collect()
     assert [r.id for r in found] == list(range(4000))
     assert max(Counter(r.part for r in found).values()) < 3000
+
+
+def test_a_range_of_time_parses_a_record_once(spark, rows):
+    given = rows([('{"date": 86400000}',), ('{"date": "1970-01-02T00:00:00Z"}',), ('{"date": "no date"}',), (None,)], "raw string")
+    found = glucose.recent(given, "entries", "1970-01-02 12:00:00", days=1)
+    assert found.columns == ["raw"] and found.count() == 2
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_an_upsert_computes_its_batch_once(spark, folder):
+    spark.sql("CREATE SCHEMA once")
+    try:
+        for values, stored in (([(1, "a"), (2, "b")], 2), ([(2, "c"), (3, None)], 3)):
+            seen = spark.sparkContext.accumulator(0)
+            batch = spark.createDataFrame(spark.sparkContext.parallelize(values, 2).map(lambda v, seen=seen: (seen.add(1), v)[1]), "id int, v string")
+            assert upsert_table(batch, "once.t", f"{folder}/t", ["id"]) == 2
+            assert seen.value == 2 and spark.table("once.t").count() == stored
+        assert sorted(map(tuple, spark.table("once.t").collect())) == [(1, "a"), (2, "c"), (3, None)]
+        with pytest.raises(QualityError, match="repeats a key"):
+            upsert_table(spark.createDataFrame([(4, "x"), (4, "x")], "id int, v string"), "once.t", f"{folder}/t", ["id"])
+        assert spark.table("once.t").count() == 3
+    finally:
+        spark.sql("DROP SCHEMA once CASCADE")

@@ -165,7 +165,9 @@ def recent(df: DataFrame, name: str, as_of: Any = None, days: int = 1, limit: in
     if name not in TIME_FIELDS:
         return df
     field = TIME_FIELDS[name]
-    timed = df.withColumn("_at", parse_variant_timestamp(F.from_json(raw, f"{field} variant")[field]))
+    parsed = df.select("*", F.inline(F.array(F.from_json(raw, f"{field} variant"))).alias("_time"))
+    # Both go through inline (see parse_records): the range compares twice, and would parse for each comparison.
+    timed = parsed.select(*df.columns, F.inline(F.array(F.struct(parse_variant_timestamp(F.col("_time")).alias("_at")))))
     return time_range(timed, "_at", as_of, days, limit, tie_breaker=raw).drop("_at")
 
 

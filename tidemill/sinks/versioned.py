@@ -13,7 +13,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.operators.upsert import newest, upsert, upsert_columns
+from tidemill.operators.rows import SEQ
+from tidemill.operators.upsert import newest, single, upsert, upsert_columns
 from tidemill.sinks.layers import store
 from tidemill.sinks.tables import counted
 
@@ -48,17 +49,22 @@ def table_location(spark: SparkSession, table: str) -> str:
 
 def publish(df: DataFrame, table: str, root: str, version: str | None = None) -> int:
     """Write ``df`` as a new version under ``root`` and switch ``table`` to it."""
-    spark = df.sparkSession
     location = f"{root.rstrip('/')}/{version or uuid.uuid4().hex}"
     rows, seen = counted(df)
     rows.write.mode("overwrite").parquet(location)
+    _switch(df, table, location)
+    return seen.get["rows"]
+
+
+def _switch(df: DataFrame, table: str, location: str) -> None:
+    """Point a table at a folder with the columns of ``df``."""
+    spark = df.sparkSession
     if spark.catalog.tableExists(table) and spark.table(table).dtypes == df.dtypes:
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
     spark.catalog.refreshTable(table)
-    return seen.get["rows"]
 
 
 def upsert_table(
@@ -72,15 +78,26 @@ def upsert_table(
     """Upsert a batch by key into a table, which the first batch creates; returns the rows put in.
 
     With a ``version`` name a repeated call for a version that is already live changes nothing.
+    The batch is computed once, straight into the new version; its keys are read back from there.
     """
     spark = batch.sparkSession
-    if not spark.catalog.tableExists(table):
-        return publish(newest(batch, keys, order), table, root, version)
-    if version and table_location(spark, table).endswith(f"/{version}"):
+    old = spark.table(table) if spark.catalog.tableExists(table) else None
+    if old is not None and version and table_location(spark, table).endswith(f"/{version}"):
         return 0
-    seen = Observation()
-    with kept(newest(batch, keys, order)) as incoming:
-        publish(upsert(spark.table(table), incoming, keys, order=(), seen=seen), table, root, version)
+    unordered = order is None and SEQ not in batch.columns
+    incoming = batch if unordered else newest(batch, keys, order)
+    if old is not None:
+        incoming = old.filter(F.lit(False)).unionByName(incoming, allowMissingColumns=True).select(*old.columns)
+    location = f"{root.rstrip('/')}/{version or uuid.uuid4().hex}"
+    rows, seen = counted(incoming)
+    rows.write.mode("overwrite").parquet(location)
+    stored = spark.read.schema(incoming.schema).parquet(location).select(*keys)
+    if unordered:
+        single(stored, keys)
+    if old is not None:
+        others = old.join(stored, list(keys), "left_anti").unionByName(incoming.filter(F.lit(False)))
+        others.select(*old.columns).write.mode("append").parquet(location)
+    _switch(incoming, table, location)
     return seen.get["rows"]
 
 
